@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import common, token_files
+from . import bpe, common, lang_id, line_dedup, mixing, quality, token_counts, token_files
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,9 +21,49 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, uri)
 
 
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hist = token_counts.histogram(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return token_counts.limits(common.Scratch(spark, "op4").keep(hist, "histogram"))
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.line_dedup(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.col("fl_n_lines").alias("n_lines"), F.col("fl_n_dropped").alias("n_dropped"), F.sha2("fl_kept", 256).alias("kept_sha256"))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lang_id.language_id(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.col("fl_held_out").alias("held_out"), F.col("fl_lang").alias("lang_pred"), F.col("fl_score").alias("score"))
+
+
+#: Target shares of the sources; those not named have a weight of 1 each.
+WEIGHTS = {"src0": 5, "src1": 3, "src2": 2}
+
+
+def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.mix(table(spark, sf_dir, "documents"), WEIGHTS)
+    return found.select("doc_id", "source", *(F.col(f"fl_{c}").alias(c) for c in ("block", "slot", "position")))
+
+
+def op8_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.apply_policies(quality.ledger(table(spark, sf_dir, "documents")))
+    base = F.col("failed").bitwiseAND(F.lit(quality.BASE)) != 0
+    return found.select("doc_id", *quality.MEASURES, "failed", *(f"kept_{p.version}" for p in quality.POLICIES), base.alias("base_failed"), (~base & quality.passes(quality.POLICIES[-1])).alias("kept"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_files": op1_token_files,
+        "op3_byte_bpe": op3_byte_bpe,
+        "op4_token_counts": op4_token_counts,
+        "op5_line_dedup": op5_line_dedup,
+        "op6_language_id": op6_language_id,
+        "op7_source_mix": op7_source_mix,
+        "op8_quality_ledger": op8_quality_ledger,
     }
 
 
