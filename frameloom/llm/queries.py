@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, lang_id, line_dedup, mixing, quality, token_counts, token_files
+from . import bpe, common, embed_dedup, lang_id, line_dedup, minhash, mixing, pii, quality, token_counts, token_files
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,11 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, uri)
 
 
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(*(common.id_of(c).alias(n) for c, n in (("doc", "doc_id"), ("copy_of", "copy_of"), ("class_id", "class_id"))), (F.col("doc") == F.col("class_id")).alias("kept"))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -55,15 +60,32 @@ def op8_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *quality.MEASURES, "failed", *(f"kept_{p.version}" for p in quality.POLICIES), base.alias("base_failed"), (~base & quality.passes(quality.POLICIES[-1])).alias("kept"))
 
 
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = embed_dedup.embedding_links(table(spark, sf_dir, "embeddings"))
+    return found.select(common.id_of("vec").alias("vec_id"), "n_links", common.id_of("component").alias("component_id"), (F.col("vec") == F.col("component")).alias("kept"))
+
+
+#: Stands for the secret that a real run passes to pii.pseudonymise.
+SURROGATE_KEY = "a fixed key, so that runs can be compared"
+
+
+def op10_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.pseudonymise(table(spark, sf_dir, "documents"), SURROGATE_KEY)
+    return found.select("doc_id", F.col("fl_clean").alias("text"), *(F.col(f"fl_{k}").alias(f"n_{k}") for k in pii.KINDS))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_files": op1_token_files,
+        "op2_minhash": op2_minhash,
         "op3_byte_bpe": op3_byte_bpe,
         "op4_token_counts": op4_token_counts,
         "op5_line_dedup": op5_line_dedup,
         "op6_language_id": op6_language_id,
         "op7_source_mix": op7_source_mix,
         "op8_quality_ledger": op8_quality_ledger,
+        "op9_embedding_dedup": op9_embedding_dedup,
+        "op10_pii_surrogates": op10_pii_surrogates,
     }
 
 
