@@ -104,7 +104,7 @@ def _throw(elements: np.ndarray, caps: np.ndarray, doc_of: np.ndarray, cells: np
     u = _unit(h)
     live, j = np.flatnonzero(u > _CDF[kind, 0]), 0
     while len(live):
-        d = mix(h[live] + np.uint64(j + 1) * _SALT[2])
+        d = mix(h[live] + np.uint64((j + 1) * int(_SALT[2]) % 2**64))
         e = mix(d ^ _SALT[3])
         c, kd = cell[live], kind[live]
         fine = kd <= _FINE
