@@ -1,15 +1,314 @@
-"""The engine's queries and their SQL twins, by name."""
+"""The engine's queries and their SQL twins, by name.
+
+Integers come out as long and doubles rounded, so that both engines agree on
+types; every query runs over its whole tables.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .functions import lanczos, pixel
+from .operators import delta, modes, onebit, reframe, resize
+from .schema import binary_violations, to_pixels
+from .sources import tables
+
+Query = Callable[[SparkSession, str], DataFrame]
+KEYS = ("frame_no", "y", "x")
+
+
+def _pixels(lines: DataFrame, *, c: bool = False, digits: int | None = None) -> DataFrame:
+    v = F.col("v").cast("long") if digits is None else F.round(F.col("v").cast("double"), digits)
+    return to_pixels(lines).select(*(F.col(k).cast("long").alias(k) for k in (*KEYS, *(["c"] if c else []))), v.alias("v"))
+
+
+def _longs(df: DataFrame, *names: str) -> DataFrame:
+    return df.select(*(F.col(n).cast("long").alias(n) for n in names))
+
+
+def _on(view: Callable[[SparkSession, str], DataFrame], *steps, **how) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        lines = view(spark, sf_dir)
+        for step in steps:
+            lines = step(lines)
+        return _pixels(lines, **how)
+
+    return run
+
+
+def _changed(lines: DataFrame) -> DataFrame:
+    """Changed pixels of each frame."""
+    coded = delta.delta_encode(onebit.threshold(lines, 128))
+    n = F.aggregate(F.flatten("planes"), F.lit(0).cast("long"), lambda s, v: s + v)
+    return _longs(coded.groupBy("frame_no").agg(F.sum(n).alias("changed")), "frame_no", "changed")
+
+
+def _clip_u8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = F.expr(pixel.clamp("value * 3 - 50", "uint8"))
+    return _longs(spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", v.alias("v")), "event_id", "v")
+
+
+def _timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(F.col("vec_id").cast("long").alias("frame_no"))
+    return rows.select("frame_no", F.round(F.col("frame_no") / 30.0, 6).alias("ts"))
+
+
+def _weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = [(o, i, w) for o, taps in enumerate(lanczos.weights(8, 5)) for i, w in taps]
+    return spark.createDataFrame(rows, "o long, i long, w double").withColumn("w", F.round("w", 6))
+
+
+def _metric(f: Callable[[DataFrame], DataFrame], *names: str) -> Query:
+    return lambda spark, sf_dir: f(tables.gray8(spark, sf_dir)).select("frame_no", *(F.round(n, 6).alias(n) for n in names))
+
+
+def _simple(fps: float) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        clip = tables.clip(spark, sf_dir, "gray8")
+        kept = reframe.simple(clip.scanlines.filter("y = 0"), clip.frame_count, clip.fps, fps)
+        return _longs(kept, "out_no", "frame_no")
+
+    return run
+
+
+def _intelligent(fps: float) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        clip = tables.clip(spark, sf_dir, "gray8")
+        return _longs(reframe.best_frames(reframe.frame_scores(clip.scanlines), clip.frame_count, clip.fps, fps), "out_no", "frame_no")
+
+    return run
+
+
+def _reframe_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = reframe.reframe(tables.clip(spark, sf_dir, "gray8"), 10.0, "simple").stats["reframe"]
+    row = spark.createDataFrame([(found["original_frame_count"], found["output_frame_count"], found["compression_ratio"], found["frame_drop_percentage"])], "original_frame_count long, output_frame_count long, compression_ratio double, frame_drop_percentage double")
+    return row.withColumns({c: F.round(c, 6) for c in ("compression_ratio", "frame_drop_percentage")})
+
+
+def _stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bits = onebit.threshold(onebit.to_gray(tables.rgb8(spark, sf_dir)), 60)
+    return onebit.pixel_stats(bits).withColumn("white_percentage", F.round("white_percentage", 6))
+
+
+def _validate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good = onebit.threshold(tables.gray8(spark, sf_dir), 128).transform(binary_violations).withColumn("data", F.lit("bits"))
+    raw = tables.gray8(spark, sf_dir).transform(binary_violations).withColumn("data", F.lit("gray"))
+    return good.unionByName(raw)
+
+
+def _runs(runs: DataFrame) -> DataFrame:
+    return _longs(runs.select("frame_no", *(["y"] if "y" in runs.columns else []), F.posexplode("runs").alias("k", "r")).select("*", "r.n", "r.v"), "frame_no", *(["y"] if "y" in runs.columns else []), "k", "n", "v")
+
+
+def _wide_bits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return onebit.threshold(tables.wide(spark, sf_dir), 0)
+
+
+def _memory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = [(c.clip_id, *(c.memory()[k] for k in ("frame_size_bytes", "total_bytes", "total_mb", "frame_count"))) for c in (tables.clip(spark, sf_dir, n) for n in ("gray8", "rgb8", "wide"))]
+    return spark.createDataFrame(rows, "clip_id string, frame_size_bytes long, total_bytes long, total_mb double, frame_count long").withColumn("total_mb", F.round("total_mb", 6))
+
+
+def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clip = tables.clip(spark, sf_dir, "rgb8")
+    clip = onebit.to_1bit(reframe.reframe(resize.resize(clip, (5, 6)), 12.0, "simple"), 60, "ordered", "bayer4x4")
+    return _pixels(delta.delta_encode_clip(clip, check=False).scanlines)
+
+
+def _bits(lines: DataFrame) -> DataFrame:
+    return onebit.threshold(lines, 128)
+
+
+def queries() -> dict[str, Query]:
+    g, rgb = tables.gray8, tables.rgb8
+    dither = lambda p: _on(g, lambda x: onebit.ordered_dither(x, 128, p))
+    return {
+        "delta_changed": lambda spark, d: _changed(tables.gray8(spark, d)),
+        "gray_frames": _on(g),
+        "rgb_to_gray": _on(rgb, onebit.to_gray),
+        "channel_split": _on(rgb, onebit.channel),
+        "channel_replicate": _on(g, onebit.replicate, c=True),
+        "frame_timestamps": _timestamps,
+        "dtype_clip_u8": _clip_u8,
+        "threshold_128": _on(g, _bits),
+        "threshold_60": _on(rgb, onebit.to_gray, lambda x: onebit.threshold(x, 60)),
+        "bayer2x2": dither("bayer2x2"),
+        "bayer4x4": dither("bayer4x4"),
+        "bayer8x8": dither("bayer8x8"),
+        "bayer8x8_rgb": _on(rgb, onebit.to_gray, lambda x: onebit.ordered_dither(x, 60, "bayer8x8")),
+        "noise_dither": _on(g, lambda x: onebit.noise_dither(x, 128)),
+        "floyd_steinberg": _on(g, lambda x: onebit.floyd_steinberg(x, 128)),
+        "onebit_stats": _stats,
+        "validate_binary": _validate,
+        "lanczos_weights": _weights,
+        "lanczos_h": _on(g, lambda x: resize.horizontal(x, 8, 5), digits=3),
+        "lanczos_v": _on(g, lambda x: resize.vertical(x, 8, 11), digits=3),
+        "lanczos_2d": _on(g, lambda x: resize.lanczos_resize(x, (8, 8), (5, 11))),
+        "lanczos_2d_arrow": _on(g, lambda x: resize.lanczos_resize_arrow(x, (8, 8), (5, 11))),
+        "lanczos_rgb": _on(rgb, lambda x: resize.lanczos_resize(x, (8, 8), (12, 4)), c=True),
+        "frame_variance": _metric(reframe.frame_variance, "variance"),
+        "frame_difference": _metric(reframe.frame_difference, "difference"),
+        "frame_scores": _metric(reframe.frame_scores, "variance", "difference", "score"),
+        "reframe_simple_10": _simple(10.0),
+        "reframe_simple_12": _simple(12.0),
+        "reframe_simple_24": _simple(24.0),
+        "reframe_intelligent_10": _intelligent(10.0),
+        "reframe_intelligent_12": _intelligent(12.0),
+        "reframe_stats": _reframe_stats,
+        "delta_pixels": _on(g, _bits, delta.delta_encode),
+        "delta_keyframes": _on(g, _bits, lambda x: delta.delta_encode(x, key_every=50)),
+        "delta_decode_roundtrip": _on(g, _bits, lambda x: delta.delta_encode(x, key_every=50), lambda x: delta.delta_decode(x, key_every=50)),
+        "rle_rows": lambda spark, d: _runs(delta.rle_rows(_bits(tables.gray8(spark, d)))),
+        "rle_wide_cap255": lambda spark, d: _runs(delta.rle_rows(_wide_bits(spark, d))),
+        "rle_frame_uncapped": lambda spark, d: _runs(delta.rle_frames(_bits(tables.gray8(spark, d)))),
+        "rle_decode_roundtrip": lambda spark, d: _pixels(delta.rle_decode(delta.rle_rows(_wide_bits(spark, d)))),
+        "rle_row_sizes": lambda spark, d: _longs(delta.rle_sizes(delta.rle_rows(_wide_bits(spark, d))), "max_row_size"),
+        "max_frames_limit": lambda spark, d: _pixels(tables.gray8(spark, d).filter("frame_no < 10")),
+        "memory_estimate": _memory,
+        "pipeline_full": _pipeline,
+        "scanline_mode": _on(g, _bits, modes.scanline_mode),
+        "interlaced_mode": _on(g, _bits, modes.interlaced_mode),
+    }
+
+
+# SQL twins. Literals with an exponent are doubles; floor before casts, which round in DuckDB.
+_VIEWS = {
+    "gray8": """gray8 AS (SELECT vec_id AS frame_no, (p - 1) // 8 AS y, (p - 1) % 8 AS x,
+        CAST(least(255e0, greatest(0e0, floor((CAST(embedding[p] AS DOUBLE) + 1e0) * 127.5e0))) AS BIGINT) AS v
+        FROM embeddings, generate_series(1, 64) AS g(p))""",
+    "rgb8": """rgb8 AS (SELECT event_id // 64 AS frame_no, event_id % 64 // 8 AS y, event_id % 8 AS x,
+        CAST(floor(value) AS BIGINT) % 256 AS r, CAST(floor(value * 7e0) AS BIGINT) % 256 AS g, user_id % 256 AS b
+        FROM events WHERE event_id < (SELECT count(*) FROM events) // 64 * 64)""",
+    "wide": """wide AS (SELECT o_orderkey // 1024 AS frame_no, 0 AS y, o_orderkey % 1024 AS x, CAST(floor(o_totalprice) AS BIGINT) % 256 AS v
+        FROM orders WHERE o_orderkey < (SELECT count(*) FROM orders) // 1024 * 1024)""",
+    "luma": """luma AS (SELECT frame_no, y, x, CAST(floor(least(255e0, greatest(0e0, 0.299e0 * r + 0.587e0 * g + 0.114e0 * b))) AS BIGINT) AS v FROM rgb8)""",
+    "bits": "bits AS (SELECT frame_no, y, x, CASE WHEN v > 128 THEN 1 ELSE 0 END AS v FROM gray8)",
+    "wbits": "wbits AS (SELECT frame_no, y, x, CASE WHEN v > 0 THEN 1 ELSE 0 END AS v FROM wide)",
+}
+
+
+def _sql(select: str, *views: str) -> str:
+    return ("WITH " + ", ".join(_VIEWS.get(v, v) for v in views) + " " if views else "") + select
+
+
+def _all(source: str, value: str = "v", extra: str = "") -> str:
+    return f"SELECT CAST(frame_no AS BIGINT) AS frame_no, CAST(y AS BIGINT) AS y, CAST(x AS BIGINT) AS x{extra}, CAST({value} AS BIGINT) AS v FROM {source}"
+
+
+def _dither_sql(source: str, pattern: str, t: int) -> str:
+    rows = pixel.BAYER[pattern]
+    n = len(rows)
+    cells = ", ".join(f"({y}, {x}, {v / n**2!r}e0)" for y, row in enumerate(rows) for x, v in enumerate(row))
+    return _all(f"{source} JOIN (VALUES {cells}) AS m(my, mx, m) ON y % {n} = my AND x % {n} = mx", f"CASE WHEN v > {t}e0 + (m - 0.5e0) * 64e0 THEN 1 ELSE 0 END")
+
+
+def _weights_sql(name: str, size: int, target: int) -> str:
+    return f"""{name} AS (SELECT o, i, CAST(CAST(k AS DOUBLE) / sum(CAST(k AS DOUBLE)) OVER (PARTITION BY o) AS FLOAT) AS w FROM (
+        SELECT o, i, CAST(CASE WHEN d = 0 THEN 1e0 WHEN abs(d) >= 4 THEN 0e0 ELSE 4e0 * sin(pi() * d) * sin(pi() * d / 4e0) / (pi() * pi() * d * d) END AS FLOAT) AS k
+        FROM (SELECT o, i, pos - i AS d FROM (SELECT o, pos, CAST(trunc(pos) AS BIGINT) + s AS i FROM (
+            SELECT o, (o + 0.5e0) * ({size}e0 / {target}e0) - 0.5e0 AS pos FROM generate_series(0, {target - 1}) AS a(o)), generate_series(-3, 4) AS b(s)))
+        WHERE i BETWEEN 0 AND {size - 1}))"""
+
+
+def _across(name: str, source: str, table: str, axis: str, rest: str) -> str:
+    others = f"frame_no, {'y' if axis == 'x' else 'x'}{rest}"
+    return f"{name} AS (SELECT {others}, o AS {axis}, CAST(sum(CAST(CAST(v AS FLOAT) * w AS DOUBLE) ORDER BY i) AS FLOAT) AS v FROM {source} JOIN {table} ON {axis} = i GROUP BY {others}, o)"
+
+
+_U8 = "floor(least(255e0, greatest(0e0, CAST(v AS DOUBLE))))"
+_VARIANCE = "fv AS (SELECT frame_no, CAST(count(*) * sum(v * v) - sum(v) * sum(v) AS DOUBLE) / CAST(count(*) * count(*) AS DOUBLE) AS variance FROM gray8 GROUP BY frame_no)"
+_DIFFERENCE = "fd AS (SELECT frame_no, CAST(sum(d) AS DOUBLE) / count(*) AS difference FROM (SELECT frame_no, coalesce(abs(v - lag(v) OVER (PARTITION BY y, x ORDER BY frame_no)), 0) AS d FROM gray8) GROUP BY frame_no)"
+_SCORES = """scores AS (SELECT frame_no, variance, difference,
+    0.7e0 * (variance / CASE WHEN max(variance) OVER () > 0 THEN max(variance) OVER () ELSE 1e0 END) + 0.3e0 * (difference / CASE WHEN max(difference) OVER () > 0 THEN max(difference) OVER () ELSE 1e0 END) AS score
+    FROM fv JOIN fd USING (frame_no))"""
+
+
+def _slots(fps: float) -> str:
+    r = f"(30e0 / {fps}e0)"
+    return f"slots AS (SELECT w, CAST(floor(w * {r}) AS BIGINT) AS a, least(CAST(floor((w + 1) * {r}) AS BIGINT), n) AS b, n FROM (SELECT unnest(generate_series(0, CAST(floor(n / {r}) AS BIGINT) - 1)) AS w, n FROM (SELECT count(*) AS n FROM embeddings)))"
+
+
+def _simple_sql(fps: float) -> str:
+    return _sql("SELECT w AS out_no, least(a, n - 1) AS frame_no FROM slots", _slots(fps))
+
+
+def _intelligent_sql(fps: float) -> str:
+    return _sql("SELECT w AS out_no, arg_max(frame_no, (score, -frame_no)) AS frame_no FROM slots JOIN scores ON frame_no >= a AND frame_no < b GROUP BY w", "gray8", _VARIANCE, _DIFFERENCE, _SCORES, _slots(fps))
+
+
+def _delta_sql(source: str, every: int | None = None) -> str:
+    key = f" OR frame_no % {every} = 0" if every else ""
+    return f"coded AS (SELECT frame_no, y, x, CASE WHEN before IS NULL{key} THEN v ELSE xor(v, before) END AS v FROM (SELECT *, lag(v) OVER (PARTITION BY y, x ORDER BY frame_no) AS before FROM {source}))"
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+def _runs_sql(source: str, line: str, at: str, cap: int | None) -> str:
+    """Gaps and islands, with long runs cut."""
+    part = f"PARTITION BY {line}"
+    runs = f"""isl AS (SELECT {line}, v, {at} - row_number() OVER ({part}, v ORDER BY {at}) AS g, {at} AS p FROM {source}),
+        runs AS (SELECT {line}, v, min(p) AS p, count(*) AS n FROM isl GROUP BY {line}, v, g)"""
+    if cap:
+        cut = f"SELECT {line}, v, p, j, least({cap}, n - {cap} * j) AS n FROM (SELECT *, unnest(generate_series(0, (n - 1) // {cap})) AS j FROM runs)"
+    else:
+        cut = f"SELECT {line}, v, p, 0 AS j, n FROM runs"
+    return f"{runs}, cut AS ({cut}), coded AS (SELECT {line}, row_number() OVER ({part} ORDER BY p, j) - 1 AS k, n, v FROM cut)"
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    longs = lambda *names: ", ".join(f"CAST({n} AS BIGINT) AS {n}" for n in names)
+    memory = lambda name, size, each, table: f"SELECT '{name}' AS clip_id, CAST({size} AS BIGINT) AS frame_size_bytes, CAST({size} * n AS BIGINT) AS total_bytes, round({size} * n / 1048576e0, 6) AS total_mb, CAST(n AS BIGINT) AS frame_count FROM (SELECT count(*) // {each} AS n FROM {table})"
+    full = [_weights_sql("wx", 8, 5), _weights_sql("wy", 8, 6), "planes AS (SELECT frame_no, y, x, unnest([0, 1, 2]) AS c, unnest([r, g, b]) AS v FROM rgb8)", _across("h", "planes", "wx", "x", ", c"), _across("vv", "h", "wy", "y", ", c"), f"u8 AS (SELECT frame_no, y, x, c, {_U8} AS v FROM vv)"]
+    cells = ", ".join(f"({y}, {x}, {v / 16!r}e0)" for y, row in enumerate(pixel.BAYER["bayer4x4"]) for x, v in enumerate(row))
+    full += [
+        "lum AS (SELECT frame_no, y, x, floor(least(255e0, greatest(0e0, 0.299e0 * max(v) FILTER (c = 0) + 0.587e0 * max(v) FILTER (c = 1) + 0.114e0 * max(v) FILTER (c = 2)))) AS v FROM u8 GROUP BY frame_no, y, x)",
+        "slots AS (SELECT w, least(CAST(floor(w * (30e0 / 12e0)) AS BIGINT), n - 1) AS a FROM (SELECT unnest(generate_series(0, CAST(floor(n / (30e0 / 12e0)) AS BIGINT) - 1)) AS w, n FROM (SELECT count(*) // 64 AS n FROM events)))",
+        f"b1 AS (SELECT w AS frame_no, y, x, CASE WHEN v > 60e0 + (m - 0.5e0) * 64e0 THEN 1 ELSE 0 END AS v FROM lum JOIN slots ON a = frame_no JOIN (VALUES {cells}) AS q(my, mx, m) ON y % 4 = my AND x % 4 = mx)",
+        _delta_sql("b1"),
+    ]
+    twice = "SELECT frame_no, y, x, coalesce({own}, v) AS v FROM bits"
+    found = {
+        "delta_changed": _sql("SELECT CAST(frame_no AS BIGINT) AS frame_no, CAST(sum(v) AS BIGINT) AS changed FROM coded GROUP BY frame_no", "gray8", "bits", _delta_sql("bits")),
+        "gray_frames": _sql(_all("gray8"), "gray8"),
+        "rgb_to_gray": _sql(_all("luma"), "rgb8", "luma"),
+        "channel_split": _sql(_all("rgb8", "r"), "rgb8"),
+        "channel_replicate": _sql(_all("gray8, generate_series(0, 2) AS k(c)", extra=", CAST(c AS BIGINT) AS c"), "gray8"),
+        "frame_timestamps": "SELECT CAST(vec_id AS BIGINT) AS frame_no, round(vec_id / 30e0, 6) AS ts FROM embeddings",
+        "dtype_clip_u8": "SELECT CAST(event_id AS BIGINT) AS event_id, CAST(floor(least(255e0, greatest(0e0, value * 3e0 - 50e0))) AS BIGINT) AS v FROM events",
+        "threshold_128": _sql(_all("bits"), "gray8", "bits"),
+        "threshold_60": _sql(_all("luma", "CASE WHEN v > 60 THEN 1 ELSE 0 END"), "rgb8", "luma"),
+        **{p: _sql(_dither_sql("gray8", p, 128), "gray8") for p in pixel.BAYER},
+        "bayer8x8_rgb": _sql(_dither_sql("luma", "bayer8x8", 60), "rgb8", "luma"),
+        "onebit_stats": _sql("SELECT CAST(count(*) AS BIGINT) AS total_pixels, CAST(sum(b) AS BIGINT) AS white_pixels, CAST(count(*) - sum(b) AS BIGINT) AS black_pixels, round(sum(b) * 100e0 / count(*), 6) AS white_percentage FROM (SELECT CASE WHEN v > 60 THEN 1 ELSE 0 END AS b FROM luma)", "rgb8", "luma"),
+        "validate_binary": _sql("SELECT 'bits' AS data, count(*) AS n_values, count(*) FILTER (v NOT IN (0, 1)) AS n_bad FROM bits UNION ALL SELECT 'gray', count(*), count(*) FILTER (v NOT IN (0, 1)) FROM gray8", "gray8", "bits"),
+        "lanczos_weights": _sql("SELECT o, i, round(CAST(w AS DOUBLE), 6) AS w FROM wx", _weights_sql("wx", 8, 5)),
+        "lanczos_h": _sql("SELECT frame_no, y, x, round(CAST(v AS DOUBLE), 3) AS v FROM h", "gray8", _weights_sql("wx", 8, 5), _across("h", "gray8", "wx", "x", "")),
+        "lanczos_v": _sql("SELECT frame_no, y, x, round(CAST(v AS DOUBLE), 3) AS v FROM h", "gray8", _weights_sql("wy", 8, 11), _across("h", "gray8", "wy", "y", "")),
+        "lanczos_rgb": _sql(_all("vv", _U8, ", CAST(c AS BIGINT) AS c"), "rgb8", "planes AS (SELECT frame_no, y, x, unnest([0, 1, 2]) AS c, unnest([r, g, b]) AS v FROM rgb8)", _weights_sql("wx", 8, 12), _weights_sql("wy", 8, 4), _across("h", "planes", "wx", "x", ", c"), _across("vv", "h", "wy", "y", ", c")),
+        "frame_variance": _sql("SELECT frame_no, round(variance, 6) AS variance FROM fv", "gray8", _VARIANCE),
+        "frame_difference": _sql("SELECT frame_no, round(difference, 6) AS difference FROM fd", "gray8", _DIFFERENCE),
+        "frame_scores": _sql("SELECT frame_no, round(variance, 6) AS variance, round(difference, 6) AS difference, round(score, 6) AS score FROM scores", "gray8", _VARIANCE, _DIFFERENCE, _SCORES),
+        "reframe_simple_10": _simple_sql(10),
+        "reframe_simple_12": _simple_sql(12),
+        "reframe_simple_24": _simple_sql(24),
+        "reframe_intelligent_10": _intelligent_sql(10),
+        "reframe_intelligent_12": _intelligent_sql(12),
+        "reframe_stats": "SELECT n AS original_frame_count, m AS output_frame_count, round(m / CAST(n AS DOUBLE), 6) AS compression_ratio, round((1e0 - m / CAST(n AS DOUBLE)) * 100e0, 6) AS frame_drop_percentage FROM (SELECT n, CAST(floor(n / 3e0) AS BIGINT) AS m FROM (SELECT count(*) AS n FROM embeddings))",
+        "delta_pixels": _sql(_all("coded"), "gray8", "bits", _delta_sql("bits")),
+        "delta_keyframes": _sql(_all("coded"), "gray8", "bits", _delta_sql("bits", 50)),
+        "delta_decode_roundtrip": _sql(_all("(SELECT frame_no, y, x, bit_xor(v) OVER (PARTITION BY y, x, frame_no // 50 ORDER BY frame_no ROWS UNBOUNDED PRECEDING) AS v FROM coded)"), "gray8", "bits", _delta_sql("bits", 50)),
+        "rle_rows": _sql(f"SELECT {longs('frame_no', 'y', 'k', 'n', 'v')} FROM coded", "gray8", "bits", _runs_sql("bits", "frame_no, y", "x", 255)),
+        "rle_wide_cap255": _sql(f"SELECT {longs('frame_no', 'y', 'k', 'n', 'v')} FROM coded", "wide", "wbits", _runs_sql("wbits", "frame_no, y", "x", 255)),
+        "rle_frame_uncapped": _sql(f"SELECT {longs('frame_no', 'k', 'n', 'v')} FROM coded", "gray8", "bits", _runs_sql("bits", "frame_no", "(y * 8 + x)", None)),
+        "rle_decode_roundtrip": _sql(_all("wbits"), "wide", "wbits"),
+        "rle_row_sizes": _sql("SELECT CAST(max(m) AS BIGINT) AS max_row_size FROM (SELECT 2 * count(*) AS m FROM coded GROUP BY frame_no, y)", "wide", "wbits", _runs_sql("wbits", "frame_no, y", "x", 255)),
+        "max_frames_limit": _sql(_all("gray8 WHERE frame_no < 10"), "gray8"),
+        "memory_estimate": " UNION ALL ".join([memory("gray8", 64, 1, "embeddings"), memory("rgb8", 192, 64, "events"), memory("wide", 1024, 1024, "orders")]),
+        "pipeline_full": _sql(_all("coded"), "rgb8", *full),
+        "scanline_mode": _sql(_all("bits", "CASE WHEN y % 2 = 0 THEN v ELSE 0 END"), "gray8", "bits"),
+        "interlaced_mode": _sql(_all(f"({twice.format(own='CASE WHEN (y + frame_no) % 2 = 0 THEN v ELSE lag(v) OVER (PARTITION BY y, x ORDER BY frame_no) END')})"), "gray8", "bits"),
+    }
+    two = _sql(_all("vv", _U8), "gray8", _weights_sql("wx", 8, 5), _weights_sql("wy", 8, 11), _across("h", "gray8", "wx", "x", ""), _across("vv", "h", "wy", "y", ""))
+    found |= {"lanczos_2d": two, "lanczos_2d_arrow": two}
+    return found
