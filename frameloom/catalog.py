@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import lanczos, pixel
-from .operators import delta, modes, onebit, reframe, resize
+from .operators import delta, display, modes, onebit, reframe, resize
+from .plans import chain
 from .schema import binary_violations, to_pixels
 from .sources import tables
 
@@ -112,6 +113,26 @@ def _memory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "clip_id string, frame_size_bytes long, total_bytes long, total_mb double, frame_count long").withColumn("total_mb", F.round("total_mb", 6))
 
 
+def _reached(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shown = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("user_id").alias("clip_id"), F.expr("unix_micros(cast(ts as timestamp))").alias("shown_us"), F.col("event_id").alias("frame_no"))
+    return display.reached_rate(shown).select("frame_no", F.round("rate", 6).alias("rate"))
+
+
+def _gathered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    every = tables.gray8(spark, sf_dir).filter("y = 0 and frame_no % 7 = 3").select(F.expr("frame_no div 7").alias("out_no"), "frame_no")
+    return _longs(to_pixels(display.gather(tables.gray8(spark, sf_dir), every)), "frame_no", "y", "x", "v")
+
+
+def _summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clip = chain.Chain().then(chain.resizing(5, 6)).then(chain.reframing(12.0, "simple")).then(chain.one_bit(60)).run(tables.clip(spark, sf_dir, "rgb8"))
+    return chain.summary(clip).select(F.col("step").cast("long").alias("step"), "component")
+
+
+def _batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = [(c.clip_id, c.batch_size(), c.batch_size(50, single_mb=0, batch_mb=0.01)) for c in (tables.clip(spark, sf_dir, n) for n in ("gray8", "rgb8", "wide"))]
+    return spark.createDataFrame(rows, "clip_id string, whole long, batch long")
+
+
 def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     clip = tables.clip(spark, sf_dir, "rgb8")
     clip = onebit.to_1bit(reframe.reframe(resize.resize(clip, (5, 6)), 12.0, "simple"), 60, "ordered", "bayer4x4")
@@ -168,6 +189,12 @@ def queries() -> dict[str, Query]:
         "rle_row_sizes": lambda spark, d: _longs(delta.rle_sizes(delta.rle_rows(_wide_bits(spark, d))), "max_row_size"),
         "max_frames_limit": lambda spark, d: _pixels(tables.gray8(spark, d).filter("frame_no < 10")),
         "memory_estimate": _memory,
+        "batch_sizes": _batches,
+        "display_values": lambda spark, d: _pixels(display.normalise(tables.clip(spark, d, "rgb8")), c=True, digits=6),
+        "frame_captions": lambda spark, d: display.captions(tables.clip(spark, d, "gray8")),
+        "reached_rate": _reached,
+        "frame_gather": _gathered,
+        "processing_summary": _summary,
         "pipeline_full": _pipeline,
         "scanline_mode": _on(g, _bits, modes.scanline_mode),
         "interlaced_mode": _on(g, _bits, modes.interlaced_mode),
@@ -305,6 +332,12 @@ def oracle_sql() -> dict[str, str]:
         "rle_row_sizes": _sql("SELECT CAST(max(m) AS BIGINT) AS max_row_size FROM (SELECT 2 * count(*) AS m FROM coded GROUP BY frame_no, y)", "wide", "wbits", _runs_sql("wbits", "frame_no, y", "x", 255)),
         "max_frames_limit": _sql(_all("gray8 WHERE frame_no < 10"), "gray8"),
         "memory_estimate": " UNION ALL ".join([memory("gray8", 64, 1, "embeddings"), memory("rgb8", 192, 64, "events"), memory("wide", 1024, 1024, "orders")]),
+        "batch_sizes": " UNION ALL ".join(f"SELECT '{name}' AS clip_id, n AS whole, least(50, greatest(1, least(n, CAST(floor(0.01e0 * 1048576e0 / {size}) AS BIGINT)))) AS batch FROM (SELECT count(*) // {each} AS n FROM {table})" for name, size, each, table in (("gray8", 64, 1, "embeddings"), ("rgb8", 192, 64, "events"), ("wide", 1024, 1024, "orders"))),
+        "display_values": _sql("SELECT frame_no, y, x, CAST(c AS BIGINT) AS c, round(v / 255e0, 6) AS v FROM planes", "rgb8", "planes AS (SELECT frame_no, y, x, unnest([0, 1, 2]) AS c, unnest([r, g, b]) AS v FROM rgb8)"),
+        "frame_captions": "SELECT vec_id AS frame_no, printf('Frame: %d/%d | Time: %.2fs | Resolution: 8x8 | FPS: 30.00 | Color: GRAY | Last Process: none', vec_id + 1, (SELECT count(*) FROM embeddings), vec_id / 30e0) AS caption FROM embeddings",
+        "reached_rate": "SELECT event_id AS frame_no, round(CASE WHEN total > 0 THEN n * 1e6 / CAST(total AS DOUBLE) END, 6) AS rate FROM (SELECT event_id, count(gap) OVER w AS n, sum(gap) OVER w AS total FROM (SELECT event_id, user_id, ts, epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS gap FROM events) WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 29 PRECEDING AND CURRENT ROW))",
+        "frame_gather": _sql(_all("gray8 WHERE frame_no % 7 = 3"), "gray8"),
+        "processing_summary": "SELECT CAST(k AS BIGINT) AS step, c AS component FROM (VALUES (1, 'reframe'), (2, 'resize'), (3, 'to_1bit')) AS s(k, c)",
         "pipeline_full": _sql(_all("coded"), "rgb8", *full),
         "scanline_mode": _sql(_all("bits", "CASE WHEN y % 2 = 0 THEN v ELSE 0 END"), "gray8", "bits"),
         "interlaced_mode": _sql(_all(f"({twice.format(own='CASE WHEN (y + frame_no) % 2 = 0 THEN v ELSE lag(v) OVER (PARTITION BY y, x ORDER BY frame_no) END')})"), "gray8", "bits"),

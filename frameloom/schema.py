@@ -107,6 +107,15 @@ class Clip:
         frame = self.width * self.height * self.channels * {"uint8": 1, "uint16": 2, "float32": 4, "float64": 8}[self.dtype]
         return {"frame_size_bytes": frame, "total_bytes": frame * self.frame_count, "total_mb": frame * self.frame_count / 2**20, "frame_count": self.frame_count}
 
+    def batch_size(self, wanted: int | None = None, *, single_mb: float = 2048, batch_mb: float = 1024) -> int:
+        """Frames that fit in a batch: all below ``single_mb``, else what
+        ``batch_mb`` holds, and no more than wanted."""
+        need = self.memory()
+        if need["total_mb"] <= single_mb:
+            return self.frame_count
+        safe = max(1, min(self.frame_count, int(batch_mb * 2**20 / need["frame_size_bytes"])))
+        return min(wanted, safe) if wanted else safe
+
     def info(self, frame_no: int) -> str:
         """The caption of a frame."""
         last = self.history[-1].component if self.history else "none"

@@ -319,3 +319,17 @@ def test_streamed_delta(spark, tmp_path):
     assert len(got) == 12
     for (n, y), row in got.items():
         assert row == (bits[0][y] if n == 0 else [a ^ b for a, b in zip(bits[n][y], bits[n - 1][y], strict=True)])
+
+
+def test_display_tables(spark, rgb, gray):
+    from frameloom.operators import display
+
+    assert display.normalise(rgb).filter("frame_no = 0 and y = 0").first().planes[0][1] == pytest.approx(3 / 255)
+    assert len(display.normalise(gray).first().planes) == 1
+    assert display.captions(rgb).orderBy("frame_no").first().caption == rgb.info(0)
+    shown = spark.createDataFrame([("a", k * 50_000, k) for k in range(40)] + [("b", 5, 0)], "clip_id string, shown_us long, frame_no long")
+    rates = {(r.clip_id, r.frame_no): r.rate for r in display.reached_rate(shown).collect()}
+    assert rates["a", 0] is None and rates["b", 0] is None and rates["a", 39] == pytest.approx(20.0)
+    picked = display.gather(gray.scanlines, spark.createDataFrame([(0, 8), (1, 8), (2, 0)], "out_no long, frame_no long"))
+    assert picked.count() == 6
+    assert gray.batch_size() == 9 and gray.batch_size(single_mb=0, batch_mb=8 / 2**20) == 2 and gray.batch_size(1, single_mb=0) == 1
