@@ -36,6 +36,8 @@ CHUNK = 4096
 #: Characters parsed at a time; bounds a worker's memory.
 SLICE = 1 << 22
 UNKNOWN = "und"
+#: Bounds what training gathers.
+MOST_LANGS = 1000
 
 
 def normalise(text: str) -> str:
@@ -196,8 +198,14 @@ def sample(docs: DataFrame, learn: Column, *, docs_a_lang: int = 64, chars: int
     ``docs_a_lang`` hash classes, an aggregation with partial results."""
     rows = docs.filter(learn & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text", F.xxhash64("text").alias("h"))
     rows = rows.withColumn("k", F.pmod("h", F.lit(docs_a_lang)))
-    least = rows.groupBy("lang", "k").agg(F.min("h").alias("h"))
-    found = rows.join(least, ["lang", "k", "h"]).select("lang", "k", F.substring("text", 1, 4 * chars).alias("text")).distinct().orderBy("lang", "k", "text").collect()
+    # docs_a_lang hashes for each language come to the driver, and go out again to pick the rows.
+    least = rows.groupBy("lang", "k").agg(F.min("h").alias("h")).limit(MOST_LANGS * docs_a_lang + 1).collect()
+    if len(least) > MOST_LANGS * docs_a_lang:
+        raise ValueError(f"more than {MOST_LANGS} languages; are these labels of languages?")
+    if not least:
+        return {}
+    chosen = docs.sparkSession.createDataFrame(least, "lang string, k long, h long")
+    found = rows.join(F.broadcast(chosen), ["lang", "k", "h"]).select("lang", "k", F.substring("text", 1, 4 * chars).alias("text")).distinct().orderBy("lang", "k", "text").collect()
     texts: dict[str, list[str]] = {}
     for lang, _, text in found:
         texts.setdefault(lang, []).append(normalise(text)[:chars])
