@@ -34,7 +34,7 @@ from . import common
 
 CHUNK = 4096
 #: Characters parsed at a time; bounds a worker's memory.
-SLICE = 1 << 22
+SLICE = 1 << 20
 UNKNOWN = "und"
 #: Bounds what training gathers.
 MOST_LANGS = 1000
@@ -99,6 +99,8 @@ class Parser:
             before += len(tables[-1]) // self.wide
         # An entry is 4 * (first entry of the state that follows) + phrases that end.
         self.table = np.concatenate(tables) if tables else np.zeros(0, dtype=np.int64)
+        if 4 * len(self.table) < 1 << 31:
+            self.table = self.table.astype(np.int32)
         self.codes = np.zeros(0x110000, dtype=np.int16)
         self.codes[:] = -1
         for c, k in self.symbol.items():
@@ -160,7 +162,7 @@ class Parser:
         order = np.argsort(-size, kind="stable")
         begin, size, text_of = begin[order], size[order], text_of[order]
         n = len(self.langs)
-        at = np.tile(np.array(self.roots, dtype=np.int64), (len(begin), 1))
+        at = np.tile(np.array(self.roots, dtype=self.table.dtype), (len(begin), 1))
         count = np.zeros((len(begin), n), dtype=np.int64)
         live = len(begin)
         # The lanes that reach step t are the first so many, for they are sorted by size.

@@ -45,7 +45,7 @@ BANDS, ROWS = 24, 5
 #: Documents in a block of a bucket, and in one of a component.
 BUCKET_BLOCK, SET_BLOCK = 256, 128
 #: Cells worked on at a time; bounds a worker's memory.
-CELLS = 1 << 21
+CELLS = 1 << 20
 _FINE = 6  # ranks below 1 lie in cells [0, 2**-6), [2**-6, 2**-5), ... [1/2, 1)
 _LOW = np.array([0.0, *(2.0 ** (k - _FINE) for k in range(_FINE))])
 _LONG = np.array([2.0**-_FINE, *(2.0 ** (k - _FINE) for k in range(_FINE))])
@@ -61,7 +61,7 @@ def shingles(text: str | None, words: int = WORDS) -> tuple[np.ndarray, np.ndarr
     if not own:
         return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
     known = _WORD_HASHES
-    if len(known) > 300_000:
+    if len(known) > 150_000:
         known.clear()
     for w in set(own).difference(known):
         known[w] = xxhash.xxh3_64_intdigest(w.encode())
