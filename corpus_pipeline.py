@@ -40,9 +40,10 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    stay = minhash.near_duplicates(docs).filter("doc = class_id").select(F.col("doc").alias("fl_doc")).distinct()
-    stay = common.Scratch(spark, "stay").keep(stay, "ids")
-    return docs.withColumn("fl_doc", common.key_of("doc_id")).join(stay, "fl_doc", "left_semi").select(*docs.columns)
+    # The documents that go are the fewer; their ids alone decide.
+    found = minhash.near_duplicates(docs).groupBy(F.col("doc").alias("fl_doc")).agg(F.bool_or(F.expr("doc = class_id")).alias("stays"))
+    gone = common.Scratch(spark, "gone").keep(found.filter("not stays").select("fl_doc"), "ids")
+    return docs.withColumn("fl_doc", common.key_of("doc_id")).join(gone, "fl_doc", "left_anti").select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
