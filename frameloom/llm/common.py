@@ -141,9 +141,11 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
 
     Alternating large and small stars: a node's neighbours move to its
     smallest neighbour until all components are stars, which takes about
-    log(nodes) rounds. Each round is two aggregations, whose partial sums
-    absorb hot nodes, and two joins that adaptive execution can split; it is
-    written to the shared folder, and the round before it is removed.
+    log(nodes) rounds. Each round is two aggregations, whose partial results
+    absorb hot nodes, and two joins with what they found. That is written
+    first: both sides of a join then come straight from an exchange, and
+    adaptive execution splits the rows of a hot node. A round is written to
+    the shared folder, and the one before it is removed.
     """
     a, b = edges.columns
     now = scratch.keep(
@@ -157,11 +159,12 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
             return now.select(F.col("b").alias("node"), F.col("a").alias("comp")).union(now.select("a", "a")).distinct()
         mark, k = new, k + 1
         both = now.union(now.select("b", "a")).toDF("u", "v")
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = scratch.keep(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), f"{name}-{k}-least")
         large = both.filter("v > u").join(least, "u").select(F.col("m").alias("a"), F.col("v").alias("b")).filter("a <> b").distinct()
         large = scratch.keep(large, f"{name}-{k}-large")
-        least = large.groupBy("b").agg(F.min("a").alias("m"))
+        least = scratch.keep(large.groupBy("b").agg(F.min("a").alias("m")), f"{name}-{k}-down")
         small = large.join(least, "b").select(F.col("m").alias("a"), F.explode(F.array("a", "b")).alias("b")).filter("a <> b").distinct()
         now = scratch.keep(small, f"{name}-{k}")
         scratch.drop(f"{name}-{k - 1}")
-        scratch.drop(f"{name}-{k}-large")
+        for part in ("large", "least", "down"):
+            scratch.drop(f"{name}-{k}-{part}")
