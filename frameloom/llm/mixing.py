@@ -32,7 +32,8 @@ from pyspark.sql import functions as F
 from . import common
 
 #: Bounds what the driver plans and broadcasts.
-MOST_SOURCES = 10_000
+MOST_SOURCES = 1_000
+MOST_SLOTS = 1 << 22
 
 
 def schedule(weights: dict[str, int]) -> list[str]:
@@ -79,7 +80,7 @@ def phases(blocks: dict[str, int], weights: dict[str, int]) -> list[dict]:
     return rows
 
 
-def mix(docs: DataFrame, weights: dict[str, int] | None = None, *, other: int = 1, block_rows: int = 32, class_rows: int = 10_000, carry: list[str] | None = None) -> DataFrame:
+def mix(docs: DataFrame, weights: dict[str, int] | None = None, *, other: int = 1, block_rows: int = 32, class_rows: int = 2_000, carry: list[str] | None = None) -> DataFrame:
     """The ``carry`` columns (doc_id, source if not given) with fl_block (of
     the source), fl_slot and fl_position (the place in the mix; its order is
     that of the slots, with gaps after a source's last block)."""
@@ -97,6 +98,8 @@ def mix(docs: DataFrame, weights: dict[str, int] | None = None, *, other: int =
     chosen = {s: (weights or {}).get(s[1:] if s[0] == "+" else None, other) for s in counts}
     if bad := [s for s, w in chosen.items() if not isinstance(w, int) or w < 1]:
         raise ValueError(f"weights must be positive whole numbers: {bad}")
+    if sum(chosen.values()) * len(chosen) > MOST_SLOTS:
+        raise ValueError("the weights' sum times the number of sources is too large; use smaller weights")
     slots = phases({s: -(-n // block_rows) for s, n in counts.items()}, chosen)
     slots = spark.createDataFrame([tuple(r.values()) for r in slots], "fl_source string, first long, last long, base long, period long, slots array<long>")
     sizes = spark.createDataFrame(list(counts.items()), "fl_source string, n long").select("fl_source", F.expr(f"greatest(1, n div {class_rows})").alias("fl_classes"))
