@@ -26,12 +26,25 @@ from frameloom.llm import bpe, common, lang_id, line_dedup, minhash, mixing
 WEIGHTS = {"src0": 5, "src1": 3, "src2": 2}
 
 
+#: Rows of an Arrow batch, at most: texts are long, and workers and JVMs keep the room that a batch once took.
+BATCH_ROWS = 1000
+
+
+def _small_batches(spark: SparkSession) -> None:
+    """Lowers the session's batch size; what runs in the stages reads it."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     found = lang_id.language_id(docs, carry=docs.columns).filter(F.col("fl_lang") != lang_id.UNKNOWN)
     return found.withColumn("lang", F.coalesce("lang", "fl_lang")).select(*docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     rest = [c for c in docs.columns if c != "text"]
     found = line_dedup.line_dedup(docs, carry=rest).withColumnRenamed("fl_kept", "text")
     if "n_chars" in rest:
@@ -40,6 +53,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     # The documents that go are the fewer; their ids alone decide.
     found = minhash.near_duplicates(docs).groupBy(F.col("doc").alias("fl_doc")).agg(F.bool_or(F.expr("doc = class_id")).alias("stays"))
     gone = common.Scratch(spark, "gone").keep(found.filter("not stays").select("fl_doc"), "ids")
@@ -47,11 +61,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     found = mixing.mix(docs, WEIGHTS, carry=docs.columns)
     return found.repartitionByRange("fl_position").sortWithinPartitions("fl_position").select(*docs.columns)
 
 
 def ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, with_ids=True)
 
 
