@@ -8,7 +8,8 @@ a target recall: the sample is paired with noisy copies at just the threshold,
 and enough cells are visited to reach that share of them. Then every vector is
 compared exactly, in double precision, with all vectors of the cells it visits.
 
-Equal vectors are one node with a count. Cells are cut into blocks and their
+Equal vectors are one node with a count and a number of its own, whatever ids
+they have. Cells are cut into blocks and their
 visitors into parts, so a crowded cell is spread over tasks; each pair of block
 and part is one matrix product. It yields a count for each vector and a star
 for each connected group in it, never the pairs. A pair that only one side
@@ -16,7 +17,8 @@ finds counts for both: a vector is dealt with the list of cells it visits.
 
 Vectors that are null, empty, zero, of another length than most, or that hold
 null or non-finite components link with nothing. Each input row counts as a
-vector and gives a row.
+vector and gives a row. Rows that share a vec_id are in one component, though
+their vectors may differ and only those that link count.
 """
 
 from __future__ import annotations
@@ -135,12 +137,12 @@ def _placed(index: MultiIndex):
                 x = np.frombuffer(b"".join(batch.column("v").to_pylist())).reshape(batch.num_rows, -1)
                 visits = [traverse(a, b, index.visits) for a, b in zip(*index.distances(x), strict=True)]
                 own = [v[0] for v in visits]
-                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("rep", "n", "v")), pa.array(own, pa.int64()), pa.array(visits, pa.list_(pa.int32()))], ["rep", "n", "v", "own", "visits"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("node", "n", "v")), pa.array(own, pa.int64()), pa.array(visits, pa.list_(pa.int32()))], ["node", "n", "v", "own", "visits"])
 
     return run
 
 
-_DEALT = pa.schema([("cell", pa.int64()), ("block", pa.int64()), ("part", pa.int64()), ("visitor", pa.bool_()), ("rep", pa.int64()), ("n", pa.int64()), ("own", pa.int64()), ("v", pa.binary()), ("visits", pa.list_(pa.int32()))])
+_DEALT = pa.schema([("cell", pa.int64()), ("block", pa.int64()), ("part", pa.int64()), ("visitor", pa.bool_()), ("node", pa.int64()), ("n", pa.int64()), ("own", pa.int64()), ("v", pa.binary()), ("visits", pa.list_(pa.int32()))])
 
 
 def _dealt(blocks: np.ndarray, parts: np.ndarray):
@@ -150,10 +152,10 @@ def _dealt(blocks: np.ndarray, parts: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            place = common.mix(batch.column("rep").to_numpy().astype(np.uint64))
-            for rep, n, v, own, visits, h in zip(*(batch.column(c).to_pylist() for c in ("rep", "n", "v", "own", "visits")), place.tolist(), strict=True):
-                rows += [(own, h % int(blocks[own]), p, False, rep, n, own, v, visits) for p in range(parts[own])]
-                rows += [(c, b, (h >> 32) % int(parts[c]), True, rep, n, own, v, None) for c in visits for b in range(blocks[c])]
+            place = common.mix(batch.column("node").to_numpy().astype(np.uint64))
+            for node, n, v, own, visits, h in zip(*(batch.column(c).to_pylist() for c in ("node", "n", "v", "own", "visits")), place.tolist(), strict=True):
+                rows += [(own, h % int(blocks[own]), p, False, node, n, own, v, visits) for p in range(parts[own])]
+                rows += [(c, b, (h >> 32) % int(parts[c]), True, node, n, own, v, None) for c in visits for b in range(blocks[c])]
                 if len(rows) > 20_000:
                     yield _batch(rows)
                     rows = []
@@ -187,7 +189,7 @@ def _match(t: pa.Table, threshold: float, counts: list[np.ndarray], stars: list[
     q, y = np.flatnonzero(visitor), np.flatnonzero(~visitor)
     if not len(q) or not len(y):
         return
-    ids, n, own = (t.column(c).to_numpy() for c in ("rep", "n", "own"))
+    ids, n, own = (t.column(c).to_numpy() for c in ("node", "n", "own"))
     x = np.frombuffer(b"".join(t.column("v").to_pylist())).reshape(len(ids), -1)
     near = (x[q] @ x[y].T >= threshold) & (ids[q][:, None] != ids[y][None])
     if not near.any():
@@ -232,28 +234,46 @@ def embedding_links(vectors: DataFrame, *, threshold: float = 0.95, recall: floa
     fits = F.col("dim").eqNullSafe(F.lit(common_dim[0]))
     alone = alone.filter(~units["dim"].eqNullSafe(F.lit(common_dim[0])))
     full = units.filter(fits)
-    reps = keep(full.groupBy("f1", "f2").agg(F.min("vec").alias("rep"), F.count("*").alias("n")), "reps")
-    member = keep(full.select("vec", "f1", "f2").join(reps, ["f1", "f2"]).select("vec", "rep", "n"), "member")
-    nodes = keep(full.join(reps, ["f1", "f2"]).filter("vec = rep").select("rep", "n", "v").dropDuplicates(["rep"]), "nodes")
+    # An id may be null or repeated on other vectors, so each distinct vector has a number, fixed once it is written.
+    reps = full.groupBy("f1", "f2").agg(F.min("vec").alias("rep"), F.count("*").alias("n"))
+    reps = keep(reps.withColumn("node", F.monotonically_increasing_id()), "reps")
+    member = keep(full.select("vec", "f1", "f2").join(reps, ["f1", "f2"]).select("vec", "node", "rep", "n"), "member")
+    nodes = keep(full.join(reps, ["f1", "f2"]).filter("vec = rep").select("node", "f1", "n", "v").dropDuplicates(["node"]), "nodes")
     total = nodes.count()
     share = min(1.0, sample / total)
     # About ``sample`` rows, chosen by hash; the index holds every row.
-    picked = nodes.filter(F.pmod(F.xxhash64(F.lit(3), "rep"), F.lit(1 << 30)) < int(share * (1 << 30))).select("v").collect()
+    picked = nodes.filter(F.pmod(F.xxhash64(F.lit(3), "f1"), F.lit(1 << 30)) < int(share * (1 << 30))).select("v").collect()
     picked = picked or nodes.select("v").limit(sample).collect()
     x = np.frombuffer(b"".join(bytes(r[0]) for r in picked)).reshape(len(picked), -1)
     index = MultiIndex(x, min(CODEWORDS, max(1, round(math.sqrt(total / cell_rows)))), threshold, recall)
-    placed = keep(nodes.mapInArrow(_placed(index), "rep long, n long, v binary, own long, visits array<int>"), "placed")
+    placed = keep(nodes.mapInArrow(_placed(index), "node long, n long, v binary, own long, visits array<int>"), "placed")
     # One number for each cell, of which there are CODEWORDS squared at most.
     blocks, parts = np.ones(index.cells, dtype=np.int64), np.ones(index.cells, dtype=np.int64)
     for c, k in placed.groupBy("own").count().collect():
         blocks[c] = -(-k // BLOCK)
     for c, k in placed.select(F.explode("visits").alias("c")).groupBy("c").count().collect():
         parts[c] = -(-k // VISITORS)
-    kind = "cell long, block long, part long, visitor boolean, rep long, n long, own long, v binary, visits array<int>"
-    dealt = placed.mapInArrow(_dealt(blocks, parts), kind).repartition("cell", "block", "part").sortWithinPartitions("cell", "block", "part", "visitor", "rep")
+    kind = "cell long, block long, part long, visitor boolean, node long, n long, own long, v binary, visits array<int>"
+    dealt = placed.mapInArrow(_dealt(blocks, parts), kind).repartition("cell", "block", "part").sortWithinPartitions("cell", "block", "part", "visitor", "node")
     found = keep(dealt.mapInArrow(_matched(threshold), "kind int, a long, b long"), "found")
-    counts = keep(found.filter("kind = 0").groupBy(F.col("a").alias("c_rep")).agg(F.sum("b").alias("links")), "counts")
+    counts = keep(found.filter("kind = 0").groupBy(F.col("a").alias("c_node")).agg(F.sum("b").alias("links")), "counts")
     stars = common.components(found.filter("kind = 1").select("a", "b"), scratch, "links")
-    known = keep(counts.join(stars, counts["c_rep"] == stars["node"]).select("c_rep", "links", "comp"), "known")
-    out = member.join(known, member["rep"] == known["c_rep"], "left")
-    return out.select("vec", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("comp", "rep").alias("component")).unionByName(alone)
+    known = keep(counts.join(stars, counts["c_node"] == stars["node"]).join(reps.select(F.col("node").alias("r_node"), "rep"), F.col("c_node") == F.col("r_node")).select("c_node", "links", "comp", "rep"), "known")
+    least = keep(known.groupBy("comp").agg(F.min("rep").alias("label")), "least")
+    known = keep(known.join(least, "comp").select("c_node", "links", "label"), "named")
+    out = member.join(known, member["node"] == known["c_node"], "left")
+    out = out.select("vec", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("label", "rep").alias("component")).unionByName(alone)
+    return _joined_by_id(keep(out, "labelled"), scratch)
+
+
+def _joined_by_id(labelled: DataFrame, scratch: common.Scratch) -> DataFrame:
+    """Components of different vectors become one where a vec_id has both. (A
+    null one needs none of that: it is the smallest of its component.)"""
+    several = labelled.groupBy("vec").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
+    several = scratch.keep(several.select("vec", "lo"), "several")
+    if several.isEmpty():
+        return labelled
+    same = labelled.join(several, "vec").select("lo", "component").filter("lo <> component").distinct()
+    merged = common.components(same, scratch, "ids")
+    out = labelled.join(merged, labelled["component"] == merged["node"], "left")
+    return out.select("vec", "n_links", F.coalesce("comp", "component").alias("component"))

@@ -179,6 +179,23 @@ def test_embedding_edges(spark):
     assert Counter((r.n_links, r.component) for r in repeated) == {(2, common.NULL_ID): 3}
 
 
+def test_embedding_ids_null_or_repeated(spark):
+    """An id, null or not, that stands on rows of different vectors."""
+    a, b = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0]
+    rows = [(None, a), (None, b), (5, b), (6, [1.0, 0.1, 0.0]), (7, [0.0, 1.0, 0.1])]
+    got = Counter((r.vec, r.n_links, r.component) for r in embed_dedup.embedding_links(vectors(spark, [(*r, 0, "", 0) for r in rows])).collect())
+    null = common.NULL_ID
+    assert got == Counter([(null, 1, null), (null, 2, null), (5, 2, null), (6, 1, null), (7, 2, null)])
+    rng = np.random.default_rng(10)
+    base = rng.standard_normal((30, 12))
+    some = base[rng.integers(0, 30, 150)] + np.where(rng.random((150, 1)) < 0.5, 0.05, 0) * rng.standard_normal((150, 12))
+    for first, ids in ((null, np.r_[[null] * 90, range(60)]), (0, rng.integers(0, 130, 150))):
+        rows = [(int(k), v.astype(np.float32).tolist()) for k, v in zip(ids, some, strict=True)] + [(int(ids[-1]), None)]
+        shown = [(None if k == null else k, v, 0, "", 0) for k, v in rows]
+        got = Counter((r.vec, r.n_links, r.component) for r in embed_dedup.embedding_links(vectors(spark, shown)).collect())
+        assert got == brute_links(rows) and min(c for _, _, c in got) >= first
+
+
 def test_traversal_is_in_order():
     rng = np.random.default_rng(9)
     for _ in range(30):
