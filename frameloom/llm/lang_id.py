@@ -10,7 +10,9 @@ first.
 
 The automaton is laid out as a table: for each state and symbol the state that
 follows, with the number of phrases that end there. Parsing then is one table
-look-up a character, done by NumPy for thousands of texts at a time. Texts of
+look-up a character, done by NumPy for thousands of texts at a time. Columns are
+for the ``COLUMNS`` most frequent characters of all samples; transitions by any
+other character of a sample are sorted pairs, found by bisection. Texts of
 more than ``CHUNK`` characters run in parts of that size, each part a new
 phrase at its start: at most one phrase more in about a thousand characters,
 the same for all languages.
@@ -33,6 +35,10 @@ from pyspark.sql import functions as F
 from . import common
 
 CHUNK = 4096
+#: Characters with a column of their own in the table; bounds its size, not the alphabet.
+COLUMNS = 255
+#: A character is at most 0x10FFFF, and so is the number of a symbol.
+SYMBOL_BITS = 21
 #: Characters parsed at a time; bounds a worker's memory.
 SLICE = 1 << 20
 UNKNOWN = "und"
@@ -88,41 +94,68 @@ class Parser:
         self.langs = sorted(samples)
         counts = Counter(c for s in samples.values() for c in s)
         # Symbol 0 is whatever no sample has.
-        letters = sorted(counts, key=lambda c: (-counts[c], c))[:255]
+        letters = sorted(counts, key=lambda c: (-counts[c], c))
         self.symbol = {c: k + 1 for k, c in enumerate(letters)}
-        self.wide = len(letters) + 1
+        self.wide = min(len(letters), COLUMNS) + 1
         self.bits = [math.log2(max(2, len(samples[x]))) for x in self.langs]
         tables, self.roots, before = [], [], 0
+        keys: list[int] = []
+        values: list[int] = []
         for lang in self.langs:
-            tables.append(self._table(SuffixAutomaton(samples[lang]), before))
+            tables.append(self._table(SuffixAutomaton(samples[lang]), before, keys, values))
             self.roots.append(before * self.wide)
             before += len(tables[-1]) // self.wide
         # An entry is 4 * (first entry of the state that follows) + phrases that end.
         self.table = np.concatenate(tables) if tables else np.zeros(0, dtype=np.int64)
         if 4 * len(self.table) < 1 << 31:
             self.table = self.table.astype(np.int32)
-        self.codes = np.zeros(0x110000, dtype=np.int16)
+        # What follows by symbols without a column, by (first entry of the state, symbol).
+        order = np.argsort(np.array(keys, dtype=np.int64))
+        self.rare_keys = np.array(keys, dtype=np.int64)[order]
+        self.rare_next = np.array(values, dtype=self.table.dtype)[order]
+        self.codes = np.zeros(0x110000, dtype=np.int32)
         self.codes[:] = -1
         for c, k in self.symbol.items():
             self.codes[ord(c)] = k
 
-    def _table(self, automaton: SuffixAutomaton, before: int) -> np.ndarray:
+    def _table(self, automaton: SuffixAutomaton, before: int, keys: list[int], values: list[int]) -> np.ndarray:
         wide, states = self.wide, len(automaton.next)
         entry = lambda state, ended: 4 * (before + state) * wide + ended
         # Without a match the phrase ends, and the character begins the next one or is one by itself.
         fresh = np.full(wide, entry(0, 2), dtype=np.int64)
         alone = np.full(wide, entry(0, 1), dtype=np.int64)
         for c, to in automaton.next[0].items():
-            if k := self.symbol.get(c):
+            if (k := self.symbol[c]) < wide:
                 fresh[k], alone[k] = entry(to, 1), entry(to, 0)
         table = np.tile(fresh, (states, 1))
         table[0] = alone
         for state, following in enumerate(automaton.next):
             for c, to in following.items():
-                if k := self.symbol.get(c):
+                if (k := self.symbol[c]) < wide:
                     table[state, k] = entry(to, 0)
+                else:
+                    keys.append((before + state) * wide << SYMBOL_BITS | k)
+                    values.append(entry(to, 0))
         return table.reshape(-1)
 
+    def _find(self, at: np.ndarray, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether symbols without a column follow, and what then does."""
+        wanted = at.astype(np.int64) << SYMBOL_BITS | symbols
+        spot = np.minimum(np.searchsorted(self.rare_keys, wanted), len(self.rare_keys) - 1)
+        return self.rare_keys[spot] == wanted, self.rare_next[spot]
+
+    def _rare(self, at: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        """Entries for symbols without a column, by text and language."""
+        roots = np.array(self.roots, dtype=self.table.dtype)
+        symbols = symbols.astype(np.int64)
+        known, then = self._find(at, symbols[:, None])
+        # As in the table: without a match the phrase ends, and the character begins the next one or is one by itself.
+        # Each symbol begins at the roots in one way only, so they are asked once for each.
+        distinct, which = np.unique(symbols, return_inverse=True)
+        begins, first = (x[which] for x in self._find(roots[None], distinct[:, None]))
+        ended = (at != roots).astype(self.table.dtype)
+        return np.where(known, then, np.where(begins, first + ended, 4 * roots + 1 + ended))
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Symbols of all normalised texts, and how many each has."""
         # A line end parts the texts: it is not a letter, and lower() makes none.
@@ -130,11 +163,11 @@ class Parser:
         codes = self.codes[chars]
         other = np.unique(chars[codes == -1])
         letter = np.array([chr(c).isalpha() for c in other], dtype=bool)
-        lookup = np.zeros(int(other.max(initial=0)) + 1, dtype=np.int16)
-        lookup[other[~letter]] = self.symbol.get(" ", 0) + 1000
+        lookup = np.zeros(int(other.max(initial=0)) + 1, dtype=np.int32)
+        lookup[other[~letter]] = 1 << SYMBOL_BITS  # above all symbols
         rest = codes == -1
         codes[rest] = lookup[chars[rest]]
-        space = (codes >= 1000) | (codes == self.symbol.get(" ", -9))
+        space = (codes == 1 << SYMBOL_BITS) | (codes == self.symbol.get(" ", -9))
         ends = np.flatnonzero(chars == 10)
         text_of = np.zeros(len(chars), dtype=np.int32)
         text_of[ends] = 1
@@ -167,9 +200,17 @@ class Parser:
         live = len(begin)
         # The lanes that reach step t are the first so many, for they are sorted by size.
         upto = np.searchsorted(-size, -np.arange(int(size.max(initial=0))), side="left")
+        any_rare = bool((symbols >= self.wide).any())
         for t in range(len(upto)):
             live = int(upto[t])
-            step = self.table[at[:live] + symbols[begin[:live] + t][:, None]]
+            now = symbols[begin[:live] + t]
+            if any_rare and len(rare := np.flatnonzero(now >= self.wide)):
+                found = self._rare(at[rare], now[rare])
+                now[rare] = 0
+                step = self.table[at[:live] + now[:, None]]
+                step[rare] = found
+            else:
+                step = self.table[at[:live] + now[:, None]]
             count[:live] += step & 3
             at[:live] = step >> 2
         count += at != np.array(self.roots)

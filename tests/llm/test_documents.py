@@ -57,6 +57,25 @@ def test_phrases_are_the_greedy_parse():
         assert row.tolist() == [naive_phrases(plain, samples[x]) for x in ("x", "y")]
 
 
+def test_alphabets_beyond_the_columns_of_the_table():
+    """Three languages of 900 letters each, and one of few; more than 2,000
+    symbols in all, so that marks for spaces can't be taken for one."""
+    rng = np.random.default_rng(5)
+    alphabets = {"c": [chr(0x4E00 + k) for k in range(900)], "d": [chr(0x4E00 + 600 + k) for k in range(900)], "k": [chr(0xAC00 + k) for k in range(900)], "x": list("abcdefgh")}
+    words = {x: ["".join(rng.choice(letters, rng.integers(1, 5))) for _ in range(1500)] for x, letters in alphabets.items()}
+    samples = {x: " ".join(own) for x, own in words.items()}
+    parser = lang_id.Parser(samples)
+    assert len(parser.symbol) > 2000
+    texts = [" ".join(rng.choice(words[x], 12)) for x in "cdkx" for _ in range(10)]
+    texts += [f"{chr(0xAC00 + 3)}1{chr(0x4E00 + 700)}ab {chr(0x9FA0)}, {chr(0x9FA1)}z", "".join(rng.choice(alphabets["c"], 40)), "", f"a{chr(0x9FA0)}"]
+    symbols, sizes = parser.encode(texts)
+    for text, n, row in zip(texts, sizes, parser.phrases(symbols, sizes), strict=True):
+        plain = lang_id.normalise(text)
+        assert len(plain) == n
+        assert row.tolist() == [naive_phrases(plain, samples[x]) for x in "cdkx"]
+    assert parser.predict(texts[:40])[0] == list("c" * 10 + "d" * 10 + "k" * 10 + "x" * 10)
+
+
 def test_long_texts_run_in_parts(monkeypatch):
     parser = lang_id.Parser({"x": "abcabd abac", "y": "bbcc"})
     text = "abc abd bbcc " * 40
