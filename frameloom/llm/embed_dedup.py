@@ -15,8 +15,9 @@ and part is one matrix product. It yields a count for each vector and a star
 for each connected group in it, never the pairs. A pair that only one side
 finds counts for both: a vector is dealt with the list of cells it visits.
 
-Vectors that are null, empty, zero, of another length than most, or that hold
-null or non-finite components link with nothing. Each input row counts as a
+Vectors of each length have an index and cells of their own; only equal lengths
+can link. Vectors that are null, empty, zero, or that hold null or non-finite
+components link with nothing. Each input row counts as a
 vector and gives a row. Rows that share a vec_id are in one component, though
 their vectors may differ and only those that link count.
 """
@@ -130,12 +131,25 @@ class MultiIndex:
         return d1.argmin(1) * len(self.books[1]) + d2.argmin(1)
 
 
-def _placed(index: MultiIndex):
+def _placed(indexes: dict[int, tuple[int, MultiIndex | None]]):
+    """The cells of each vector, by the first cell of its length and the index
+    (None: one cell)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                x = np.frombuffer(b"".join(batch.column("v").to_pylist())).reshape(batch.num_rows, -1)
-                visits = [traverse(a, b, index.visits) for a, b in zip(*index.distances(x), strict=True)]
+                dims, vs = batch.column("dim").to_numpy(), batch.column("v").to_pylist()
+                visits: list[list[int]] = [[]] * len(vs)
+                order = np.argsort(dims, kind="stable")
+                for rows in np.split(order, np.flatnonzero(np.diff(dims[order])) + 1):
+                    base, index = indexes[int(dims[rows[0]])]
+                    if index is None:
+                        for k in rows.tolist():
+                            visits[k] = [base]
+                        continue
+                    x = np.frombuffer(b"".join(vs[k] for k in rows.tolist())).reshape(len(rows), -1)
+                    for k, a, b in zip(rows.tolist(), *index.distances(x), strict=True):
+                        visits[k] = [base + c for c in traverse(a, b, index.visits)]
                 own = [v[0] for v in visits]
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("node", "n", "v")), pa.array(own, pa.int64()), pa.array(visits, pa.list_(pa.int32()))], ["node", "n", "v", "own", "visits"])
 
@@ -227,28 +241,31 @@ def embedding_links(vectors: DataFrame, *, threshold: float = 0.95, recall: floa
     keep = scratch.keep
     rows = vectors.select(common.key_of("vec_id").alias("vec"), F.col("embedding").cast("array<double>").alias("embedding"))
     units = keep(rows.mapInArrow(_units, "vec long, f1 long, f2 long, dim long, v binary"), "units")
-    common_dim = units.filter("dim is not null").groupBy("dim").count().orderBy(F.desc("count"), "dim").first()
-    alone = units.select("vec", F.lit(0).cast("long").alias("n_links"), F.col("vec").alias("component"))
-    if common_dim is None:
-        return alone
-    fits = F.col("dim").eqNullSafe(F.lit(common_dim[0]))
-    alone = alone.filter(~units["dim"].eqNullSafe(F.lit(common_dim[0])))
-    full = units.filter(fits)
+    # Without a direction a vector links with nothing.
+    alone = units.filter("dim is null").select("vec", F.lit(0).cast("long").alias("n_links"), F.col("vec").alias("component"))
+    full = units.filter("dim is not null")
     # An id may be null or repeated on other vectors, so each distinct vector has a number, fixed once it is written.
-    reps = full.groupBy("f1", "f2").agg(F.min("vec").alias("rep"), F.count("*").alias("n"))
+    reps = full.groupBy("f1", "f2").agg(F.min("dim").alias("dim"), F.min("vec").alias("rep"), F.count("*").alias("n"))
     reps = keep(reps.withColumn("node", F.monotonically_increasing_id()), "reps")
     member = keep(full.select("vec", "f1", "f2").join(reps, ["f1", "f2"]).select("vec", "node", "rep", "n"), "member")
-    nodes = keep(full.join(reps, ["f1", "f2"]).filter("vec = rep").select("node", "f1", "n", "v").dropDuplicates(["node"]), "nodes")
-    total = nodes.count()
-    share = min(1.0, sample / total)
-    # About ``sample`` rows, chosen by hash; the index holds every row.
-    picked = nodes.filter(F.pmod(F.xxhash64(F.lit(3), "f1"), F.lit(1 << 30)) < int(share * (1 << 30))).select("v").collect()
-    picked = picked or nodes.select("v").limit(sample).collect()
-    x = np.frombuffer(b"".join(bytes(r[0]) for r in picked)).reshape(len(picked), -1)
-    index = MultiIndex(x, min(CODEWORDS, max(1, round(math.sqrt(total / cell_rows)))), threshold, recall)
-    placed = keep(nodes.mapInArrow(_placed(index), "node long, n long, v binary, own long, visits array<int>"), "placed")
-    # One number for each cell, of which there are CODEWORDS squared at most.
-    blocks, parts = np.ones(index.cells, dtype=np.int64), np.ones(index.cells, dtype=np.int64)
+    nodes = keep(full.join(reps.drop("dim"), ["f1", "f2"]).filter("vec = rep").select("node", "f1", "dim", "n", "v").dropDuplicates(["node"]), "nodes")
+    indexes, cells = {}, 0
+    for dim, total in nodes.groupBy("dim").count().orderBy("dim").collect():
+        index, codewords = None, min(CODEWORDS, max(1, round(math.sqrt(total / cell_rows))))
+        if codewords > 1:
+            own = nodes.filter(F.col("dim") == dim)
+            share = min(1.0, sample / total)
+            # About ``sample`` rows, chosen by hash; the index holds every row.
+            picked = own.filter(F.pmod(F.xxhash64(F.lit(3), "f1"), F.lit(1 << 30)) < int(share * (1 << 30))).select("v").collect()
+            picked = picked or own.select("v").limit(sample).collect()
+            index = MultiIndex(np.frombuffer(b"".join(bytes(r[0]) for r in picked)).reshape(len(picked), -1), codewords, threshold, recall)
+        indexes[dim] = (cells, index)
+        cells += index.cells if index else 1
+    if not indexes:
+        return alone
+    placed = keep(nodes.mapInArrow(_placed(indexes), "node long, n long, v binary, own long, visits array<int>"), "placed")
+    # One number for each cell, of which each length has CODEWORDS squared at most.
+    blocks, parts = np.ones(cells, dtype=np.int64), np.ones(cells, dtype=np.int64)
     for c, k in placed.groupBy("own").count().collect():
         blocks[c] = -(-k // BLOCK)
     for c, k in placed.select(F.explode("visits").alias("c")).groupBy("c").count().collect():

@@ -196,6 +196,20 @@ def test_embedding_ids_null_or_repeated(spark):
         assert got == brute_links(rows) and min(c for _, _, c in got) >= first
 
 
+def test_embedding_lengths(spark):
+    """Vectors of every length are compared with those of that length, in one
+    cell (12 lengths of few vectors) or several (two lengths)."""
+    rng = np.random.default_rng(11)
+    rows = []
+    for dim, size in [(16, 90), (10, 60), *((k, 3) for k in range(20, 32)), (1, 2)]:
+        base = rng.standard_normal((5, dim))
+        rows += [v.astype(np.float32).tolist() for v in base[rng.integers(0, 5, size)] + np.where(rng.random((size, 1)) < 0.5, 0.02, 0) * rng.standard_normal((size, dim))]
+    rows = [(int(k), rows[k]) for k in rng.permutation(len(rows))] + [(900, None), (901, [])]
+    got = Counter((r.vec, r.n_links, r.component) for r in embed_dedup.embedding_links(vectors(spark, [(*r, 0, "", 0) for r in rows]), cell_rows=8).collect())
+    assert got == brute_links(rows)
+    assert {len(v) for k, v in rows[:-2] if any(x == k and n for x, n, _ in got)} >= {10, 16}
+
+
 def test_traversal_is_in_order():
     rng = np.random.default_rng(9)
     for _ in range(30):
