@@ -13,12 +13,14 @@ def with_previous(scanlines: DataFrame, *, chunk: int = CHUNK) -> DataFrame:
     """Adds ``before``, the planes of the previous frame (null for the first).
 
     A window over all frames of a line would have as many partitions as lines.
-    Frames are cut into chunks instead, and the last frame of each chunk is
-    sent to the next one as well.
+    Frames are cut into chunks instead, and the last frame that a chunk has of
+    a line is sent to the next chunk that has any; numbers may have gaps.
     """
     own = F.expr(f"frame_no div {chunk}")
-    halo = F.when(F.col("frame_no") % chunk == chunk - 1, F.array(own, own + 1)).otherwise(F.array(own))
-    rows = scanlines.withColumn("chunk", F.explode(halo))
-    line = Window.partitionBy("clip_id", "y", "chunk").orderBy("frame_no")
-    rows = rows.withColumn("before", F.lag("planes").over(line))
-    return rows.filter(F.col("chunk") == own).drop("chunk")
+    rows = scanlines.withColumn("chunk", own).withColumn("halo", F.lit(False))
+    line = Window.partitionBy("clip_id", "y").orderBy("chunk")
+    last = rows.groupBy("clip_id", "y", "chunk").agg(F.max("frame_no").alias("frame_no"), F.max_by("planes", "frame_no").alias("planes"))
+    last = last.withColumn("chunk", F.lead("chunk").over(line)).filter("chunk is not null").withColumn("halo", F.lit(True))
+    both = Window.partitionBy("clip_id", "y", "chunk").orderBy("frame_no")
+    rows = rows.unionByName(last, allowMissingColumns=True).withColumn("before", F.lag("planes").over(both))
+    return rows.filter("not halo").drop("chunk", "halo")

@@ -173,6 +173,14 @@ def test_chunks_do_not_show(gray):
     assert rows(2) == rows(100) and len(rows(2)) == 18
 
 
+def test_chunks_do_not_show_where_numbers_have_gaps(gray):
+    from frameloom.operators.neighbours import with_previous
+
+    lines = gray.scanlines.selectExpr("*", "explode(array(0, 4, 20)) AS o").selectExpr("clip_id", "frame_no + o AS frame_no", "y", "planes").filter("frame_no not in (1, 21)")
+    rows = lambda chunk: sorted((r.frame_no, r.y, str(r.before)) for r in with_previous(lines, chunk=chunk).collect())
+    assert rows(2) == rows(100) and sum(b == "None" for _, _, b in rows(2)) == lines.select("y").distinct().count()
+
+
 def test_delta_golden(spark):
     clip = frames.from_array(spark, np.array([[[0, 0, 1, 1]], [[0, 1, 1, 0]]], dtype=np.uint8), 1, "BW")
     assert frames.to_array(delta.delta_encode_clip(clip)).tolist() == [[[0, 0, 1, 1]], [[0, 1, 0, 1]]]
