@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import subprocess
+import sys
+from pathlib import Path
+
 import duckdb
 import pytest
 
@@ -39,3 +45,16 @@ def test_only_these_have_no_twin():
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() == 500
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+@pytest.mark.parametrize("pipeline", [True, False])
+def test_the_rest_stands_alone(tmp_path, pipeline):
+    """Without the text subpackage, whether its pipeline is still there or not,
+    all of the catalog's queries remain."""
+    root = Path(__file__).resolve().parent.parent
+    shutil.copytree(root / "frameloom", tmp_path / "frameloom", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    for name in ("__spark_entry__.py", "bench.py") + ("corpus_pipeline.py",) * (pipeline and (root / "corpus_pipeline.py").exists()):
+        shutil.copy(root / name, tmp_path)
+    code = "import bench, __spark_entry__ as e; print(*sorted(e.queries())); print(*sorted(e.oracle_sql()))"
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=os.environ | {"PYTHONPATH": str(tmp_path)}, capture_output=True, text=True, check=True)
+    assert done.stdout.split("\n")[:2] == [" ".join(sorted(QUERIES)), " ".join(sorted(ORACLES))]
