@@ -15,6 +15,7 @@ import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +33,30 @@ def id_of(column: str) -> Column:
     return F.when(F.col(column) != NULL_ID, F.col(column))
 
 
+def carried(carry: list[str]) -> Column:
+    """The carried columns as one struct, fl_row: none of their names can
+    clash with those that an operator works with."""
+    return F.struct(*(F.col(f"`{c}`") for c in carry)).alias("fl_row")
+
+
+def carried_kind(docs: DataFrame, carry: list[str]) -> str:
+    """The type of that struct."""
+    return docs.select(carried(carry)).schema[0].dataType.simpleString()
+
+
+def spread(carry: list[str], results: list[str]) -> list[Column]:
+    """The carried columns by themselves again, and the results; a carried
+    column with the name of a result gives way to it."""
+    taken = {r.lower() for r in results}
+    return [*(F.col("fl_row")[c].alias(c) for c in carry if c.lower() not in taken), *(F.col(r) for r in results)]
+
+
+def whole_rows(docs: DataFrame, *needed: str) -> DataFrame:
+    """fl_row with every column, beside those that are needed: what a stage
+    hands to an operator when rows must come back as they were."""
+    return docs.select(carried(docs.columns), *(F.col(f"`{c}`") for c in needed))
+
+
 def shared_root(spark: SparkSession) -> str:
     """The shared folder of the cluster. Where the setting is missing, only a
     local master gets one of its own; elsewhere that is an error, since other
@@ -46,25 +71,78 @@ def shared_root(spark: SparkSession) -> str:
     return root
 
 
+def write_whole(df: DataFrame, path: str) -> None:
+    """Parquet for rows that hold large binary values: no dictionaries, small
+    row groups, so that neither side holds many of them at a time."""
+    df.write.mode("overwrite").option("compression", "none").option("parquet.enable.dictionary", "false").option("parquet.block.size", str(16 << 20)).parquet(path)
+
+
 class Scratch:
-    """Tables of one run, below the shared folder."""
+    """Tables of one run, below the shared folder. A table that its result
+    reads stays until the application ends; ``drop`` and ``close`` remove the
+    others."""
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
         self.uri = f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
-        self.kept: dict[str, str] = {}
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
+    def keep(self, df: DataFrame, name: str, *, whole_values: bool = False) -> DataFrame:
         """Writes df and reads it again: what follows starts from the files."""
         path = f"{self.uri}/{name}"
-        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+        if whole_values:
+            write_whole(df, path)
+        else:
+            df.write.mode("overwrite").option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def drop(self, name: str) -> None:
-        """Removes a table that nothing will read again."""
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.uri}/{name}")
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    def drop(self, *names: str) -> None:
+        """Removes tables that nothing will read again."""
+        for name in names:
+            remove(self.spark, f"{self.uri}/{name}")
+
+    def close(self) -> None:
+        """Removes all of them."""
+        remove(self.spark, self.uri)
+
+
+def remove(spark: SparkSession, uri: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(uri)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+#: Bits of a sketch of ids: 1 MB, whatever the corpus.
+MARKS = 1 << 23
+
+
+def mark(column: str) -> Column:
+    """The place of an id in a sketch."""
+    return F.pmod(F.xxhash64(column), F.lit(MARKS))
+
+
+def marks(ids: DataFrame, column: str) -> np.ndarray:
+    """A sketch of the ids of a column, gathered as bitmaps of 4 KB: it holds
+    all of them and, by chance, few others until it fills up."""
+    rows = ids.select((mark(column) + 1).alias("v")).groupBy(F.bitmap_bucket_number("v").alias("g")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("v")).alias("m")).collect()
+    out = np.zeros(MARKS // 8, dtype=np.uint8)
+    for g, m in rows:
+        out[(g - 1) * 4096 : g * 4096] = np.frombuffer(bytes(m), np.uint8)
+    return out
+
+
+def hits(sketch: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Which places of ids are set."""
+    return (sketch[places >> 3] >> (places & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def marked(df: DataFrame, column: str, sketch: np.ndarray) -> DataFrame:
+    """Adds fl_hit: whether the sketch may hold the id. Only the ids go
+    through Python."""
+
+    @F.pandas_udf("boolean")
+    def hit(places: pd.Series) -> pd.Series:
+        return pd.Series(hits(sketch, places.to_numpy()))
+
+    return df.withColumn("fl_hit", hit.asNondeterministic()(mark(column)))
 
 
 def slices(sizes: Iterable[int], most: int) -> Iterator[tuple[int, int]]:
@@ -168,3 +246,16 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
         scratch.drop(f"{name}-{k - 1}")
         for part in ("large", "least", "down"):
             scratch.drop(f"{name}-{k}-{part}")
+
+
+def joined_by_id(labelled: DataFrame, key: str, label: str, scratch: Scratch) -> DataFrame:
+    """Labels become one, the smallest, where rows of one key have several.
+    (Those of a null key need none of that: it is the smallest of its label.)"""
+    several = labelled.groupBy(key).agg(F.min(label).alias("lo"), F.max(label).alias("hi")).filter("lo < hi")
+    several = scratch.keep(several.select(key, "lo"), "several")
+    if several.isEmpty():
+        return labelled
+    same = labelled.join(several, key).select("lo", label).filter(f"lo <> {label}").distinct()
+    merged = components(same, scratch, "ids")
+    out = labelled.join(merged, labelled[label] == merged["node"], "left")
+    return out.select(*(F.coalesce("comp", label).alias(c) if c == label else F.col(c) for c in labelled.columns))
