@@ -12,7 +12,8 @@ O(n + k log k).
 
 Then, without ever listing the pairs of a group:
 
-1. equal shingle sets become one representative, the smallest doc_id;
+1. equal shingle sets become one node with a number of its own, whatever ids
+   they have; its representative is the smallest doc_id;
 2. bands of the signature give buckets. Large buckets are cut into blocks, and
    pairs of blocks are compared in memory by one byte a coordinate; a block
    pair yields only a spanning forest of what might be similar enough;
@@ -22,7 +23,15 @@ Then, without ever listing the pairs of a group:
 
 A pair at the threshold shares a band with probability 0.9999 and passes the
 estimate of step 2 with all but about one in a million; step 3 also finds links
-that no band showed. Rows that share a doc_id are one document.
+that no band showed.
+
+Words are what str.split() gives, between any Unicode white space. Each input
+row is a text and gives a row, repeated ones too. Rows that share a doc_id,
+whatever their texts, are in one class; each links by its own text. Null ids
+count as one id, the smallest. Null texts and those without words link with
+nothing. Very long texts are taken whole, in slices that bound a worker's
+memory. An empty table gives an empty result; columns other than doc_id and
+text are not read.
 """
 
 from __future__ import annotations
@@ -160,6 +169,11 @@ def band_keys(sig: np.ndarray, bands: int = BANDS) -> np.ndarray:
     return out.view(np.int64)
 
 
+def _print(found: tuple[np.ndarray, np.ndarray], weighting: str) -> bytes:
+    """Tells shingle sets, with "count" also their weights, apart."""
+    return blake2b(b"".join(x.tobytes() for x in found[: 1 + (weighting == "count")]), digest_size=16).digest()
+
+
 def _sketches(words: int, bands: int, k: int, weighting: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -170,7 +184,7 @@ def _sketches(words: int, bands: int, k: int, weighting: str):
                 full = [i for i, (s, _) in enumerate(found) if len(s)]
                 sig = signatures([found[i][0] for i in full], [found[i][1] for i in full] if weighting == "count" else None, k)
                 keys, small = band_keys(sig, bands), (mix(sig) & np.uint64(255)).astype(np.uint8)
-                prints = np.frombuffer(b"".join(blake2b(b"".join(x.tobytes() for x in (found[i] if weighting == "count" else found[i][:1])), digest_size=16).digest() for i in full), "<i8").reshape(-1, 2)
+                prints = np.frombuffer(b"".join(_print(found[i], weighting) for i in full), "<i8").reshape(-1, 2)
                 row = dict(zip(full, range(len(full)), strict=True))
                 at = [row.get(i) for i in range(b - a)]
                 yield pa.RecordBatch.from_pydict(
@@ -213,7 +227,7 @@ def by_group(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[pa.
 def _candidates(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t, at in by_group(batches, 3):
-            ids = t.column("rep").to_numpy()
+            ids = t.column("node").to_numpy()
             sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint8).reshape(len(ids), -1)
             edges: list[tuple[int, int]] = []
             two = at[:-1][np.diff(at) == 2]
@@ -273,41 +287,30 @@ def _verified(threshold: float):
             ids, blobs = t.column("node").to_numpy(), t.column("set")
             edges: list[tuple[int, int]] = []
             for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
-                if b - a > 1:
-                    sets = [np.frombuffer(blobs[i].as_py(), np.uint64) for i in range(a, b)]
-                    edges += common.spanning(ids[a:b], _linked(sets, threshold))
+                # Rows of one id and text bring the same set.
+                own, first = np.unique(ids[a:b], return_index=True)
+                if len(own) > 1:
+                    sets = [np.frombuffer(blobs[a + i].as_py(), np.uint64) for i in first.tolist()]
+                    edges += common.spanning(own, _linked(sets, threshold))
             yield _edges(edges)
 
     return run
 
 
-#: Bits of the sketch that spares most texts the exchange before step 3: 1 MB, whatever the corpus.
-MARKS = 1 << 23
-
-
-def _mark(column: str):
-    return F.pmod(F.xxhash64(column), F.lit(MARKS))
-
-
-def _marks(nodes: DataFrame, column: str) -> np.ndarray:
-    """Bits of the hashes of a column, gathered as bitmaps of 4 KB."""
-    rows = nodes.select((_mark(column) + 1).alias("v")).groupBy(F.bitmap_bucket_number("v").alias("g")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("v")).alias("m")).collect()
-    out = np.zeros(MARKS // 8, dtype=np.uint8)
-    for g, m in rows:
-        out[(g - 1) * 4096 : g * 4096] = np.frombuffer(bytes(m), np.uint8)
-    return out
-
-
-def _sets(words: int, marks: np.ndarray):
+def _sets(words: int, marks: np.ndarray, weighting: str):
     """Shingle sets of the texts whose mark is set: all that are wanted and
-    few others, which the join with the exact ids removes."""
+    few others, which the join with the exact nodes removes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            b = batch.column("b").to_numpy()
-            hit = np.flatnonzero(marks[b >> 3] >> (b & 7).astype(np.uint8) & 1)
-            blobs = [shingles(batch.column("text")[int(k)].as_py(), words)[0].tobytes() for k in hit]
-            yield pa.RecordBatch.from_arrays([batch.column("doc").take(pa.array(hit)), pa.array(blobs, pa.binary())], ["doc", "set"])
+            hit = np.flatnonzero(common.hits(marks, batch.column("b").to_numpy())).tolist()
+            rows: dict[tuple[int, bytes], bytes] = {}
+            for k, doc in zip(hit, batch.column("doc").take(pa.array(hit, pa.int64())).to_pylist(), strict=True):
+                found = shingles(batch.column("text")[k].as_py(), words)
+                rows[doc, _print(found, weighting)] = found[0].tobytes()
+            docs, prints = zip(*rows, strict=True) if rows else ((), ())
+            halves = np.frombuffer(b"".join(prints), "<i8").reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(halves[:, 0]), pa.array(halves[:, 1]), pa.array(list(rows.values()), pa.binary())], ["doc", "f1", "f2", "set"])
 
     return run
 
@@ -338,26 +341,35 @@ def near_duplicates(docs: DataFrame, *, threshold: float = 0.8, words: int = WOR
     texts = docs.select(common.key_of("doc_id").alias("doc"), F.col("text").cast("string").alias("text"))
     sketch = keep(texts.mapInArrow(_sketches(words, bands, k, weighting), "doc long, f1 long, f2 long, bands array<long>, sig binary"), "sketch")
     full = sketch.filter("f1 is not null")
-    reps = keep(full.groupBy("f1", "f2").agg(F.min("doc").alias("rep")), "reps")
-    member = keep(full.select("doc", "f1", "f2").join(reps, ["f1", "f2"]).select("doc", "rep"), "member")
-    own = keep(full.join(reps, ["f1", "f2"]).filter("doc = rep").select("rep", "bands", "sig"), "own")
-    empty = keep(sketch.filter("f1 is null").select("doc", F.col("doc").alias("copy_of"), F.col("doc").alias("class_id")), "empty")
-    scratch.drop("sketch")
+    empty = sketch.filter("f1 is null").select("doc", F.col("doc").alias("copy_of"), F.col("doc").alias("class_id"))
+    # Equal sets have equal signatures: the first stands for all.
+    nodes = full.groupBy("f1", "f2").agg(F.min("doc").alias("rep"), F.first("bands").alias("bands"), F.first("sig").alias("sig"))
+    nodes = keep(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
 
-    spread = own.select("rep", F.explode("bands").alias("key"))
+    spread = nodes.select("node", F.explode("bands").alias("key"))
     buckets = keep(spread.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1"), "buckets")
-    hits = keep(spread.join(buckets, "key").select("key", "m", "rep"), "hits")
-    hits = hits.join(own.select("rep", "sig"), "rep")
+    hits = keep(spread.join(buckets, "key").select("key", "m", "node"), "hits")
+    hits = hits.join(nodes.select("node", "sig"), "node")
     # 4.8 standard deviations below what a pair at the threshold is expected to agree in
     least = math.floor(k * threshold - 4.8 * math.sqrt(k * threshold * (1 - threshold)))
-    near = _in_blocks(hits, "key", "rep", BUCKET_BLOCK, "sig").mapInArrow(_candidates(least), "a long, b long")
+    near = _in_blocks(hits, "key", "node", BUCKET_BLOCK, "sig").mapInArrow(_candidates(least), "a long, b long")
     clusters = keep(common.components(near.distinct(), scratch, "near").select("node", F.col("comp").alias("q")), "clusters")
     sizes = keep(clusters.groupBy("q").agg(F.count("*").alias("m")), "sizes")
-    clustered = keep(clusters.join(sizes, "q").select("q", "m", "node"), "clustered")
+    prints = nodes.select(F.col("node").alias("n_node"), "rep", "f1", "f2")
+    clustered = keep(clusters.join(sizes, "q").join(prints, F.col("node") == F.col("n_node")).select("q", "m", "node", "rep", "f1", "f2"), "clustered")
+    scratch.drop("buckets", "hits", "clusters", "sizes")
 
-    sets = texts.select("doc", _mark("doc").alias("b"), "text").mapInArrow(_sets(words, _marks(clustered, "node")), "doc long, set binary")
-    sets = sets.join(clustered, sets["doc"] == clustered["node"]).select("q", "m", "node", "set")
+    sets = texts.select("doc", common.mark("doc").alias("b"), "text").mapInArrow(_sets(words, common.marks(clustered, "rep"), weighting), "doc long, f1 long, f2 long, set binary")
+    sets = sets.join(clustered.withColumnRenamed("rep", "doc"), ["doc", "f1", "f2"]).select("q", "m", "node", "set")
     links = _in_blocks(sets, "q", "node", SET_BLOCK, "set").mapInArrow(_verified(threshold), "a long, b long")
     classes = keep(common.components(links.distinct(), scratch, "links"), "classes")
-    found = member.join(classes, member["rep"] == classes["node"], "left").select("doc", F.col("rep").alias("copy_of"), F.coalesce("comp", "rep").alias("class_id"))
-    return found.unionByName(empty)
+    classes = keep(classes.join(prints, F.col("node") == F.col("n_node")).select("node", "comp", "rep"), "linked")
+    labels = keep(classes.groupBy("comp").agg(F.min("rep").alias("label")), "labels")
+    classes = classes.join(labels, "comp").select(F.col("node").alias("l_node"), "label")
+    # What a set has found, by its fingerprint; its rows join once.
+    named = nodes.select("node", "f1", "f2", "rep").join(classes, F.col("node") == F.col("l_node"), "left")
+    named = keep(named.select("f1", "f2", F.col("rep").alias("copy_of"), F.coalesce("label", "rep").alias("class_id")), "named")
+    found = full.select("doc", "f1", "f2").join(named, ["f1", "f2"]).select("doc", "copy_of", "class_id").unionByName(empty)
+    found = keep(found, "found")
+    scratch.drop("sketch", "nodes", "clustered", "classes", "linked", "labels", "named")
+    return common.joined_by_id(found, "doc", "class_id", scratch)

@@ -17,14 +17,18 @@ def _components(nodes: str, links: str) -> str:
     comp AS (SELECT id, least(id, coalesce(m, id)) AS c FROM {nodes} LEFT JOIN (SELECT a, min(b) AS m FROM reach GROUP BY a) ON id = a)"""
 
 
-OP2 = rf"""WITH RECURSIVE words AS (SELECT doc_id AS id, regexp_extract_all(coalesce(text, ''), '\S+') AS w FROM documents),
-    shingles AS (SELECT DISTINCT id, array_to_string(w[p : p + 4], ' ') AS s FROM (SELECT id, w, unnest(generate_series(1, greatest(1, len(w) - 4))) AS p FROM words WHERE len(w) > 0)),
-    sizes AS (SELECT id, count(*) AS n FROM shingles GROUP BY id),
-    shared AS (SELECT x.id AS a, y.id AS b, count(*) AS n FROM shingles x JOIN shingles y ON x.s = y.s AND x.id < y.id GROUP BY x.id, y.id),
-    pairs AS (SELECT a, b, CAST(shared.n AS DOUBLE) / (p.n + q.n - shared.n) AS j FROM shared JOIN sizes p ON p.id = a JOIN sizes q ON q.id = b),
-    links AS (SELECT a, b FROM pairs WHERE j >= 0.8e0), copies AS (SELECT b AS id, min(a) AS copy FROM pairs WHERE j = 1 GROUP BY b),
-    nodes AS (SELECT id FROM words), {_components("nodes", "links")}
-    SELECT id AS doc_id, least(id, coalesce(copy, id)) AS copy_of, c AS class_id, id = c AS kept FROM comp LEFT JOIN copies USING (id)"""
+#: Other than white space of any kind.
+_DARK = r"[^\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
+
+OP2 = rf"""WITH RECURSIVE rows AS (SELECT row_number() OVER () AS r, doc_id AS id, regexp_extract_all(coalesce(text, ''), '{_DARK}') AS w FROM documents),
+    shingles AS (SELECT DISTINCT r, array_to_string(w[p : p + 4], ' ') AS s FROM (SELECT r, w, unnest(generate_series(1, greatest(1, len(w) - 4))) AS p FROM rows WHERE len(w) > 0)),
+    sizes AS (SELECT r, count(*) AS n FROM shingles GROUP BY r),
+    shared AS (SELECT x.r AS a, y.r AS b, count(*) AS n FROM shingles x JOIN shingles y ON x.s = y.s AND x.r <> y.r GROUP BY x.r, y.r),
+    pairs AS (SELECT a, b, CAST(shared.n AS DOUBLE) / (p.n + q.n - shared.n) AS j FROM shared JOIN sizes p ON p.r = a JOIN sizes q ON q.r = b),
+    links AS (SELECT p.id AS a, q.id AS b FROM pairs JOIN rows p ON p.r = pairs.a JOIN rows q ON q.r = pairs.b WHERE j >= 0.8e0 AND p.id <> q.id),
+    copies AS (SELECT pairs.a AS r, min(id) AS copy FROM pairs JOIN rows ON rows.r = pairs.b WHERE j = 1 GROUP BY pairs.a),
+    nodes AS (SELECT DISTINCT id FROM rows), {_components("nodes", "links")}
+    SELECT rows.id AS doc_id, least(rows.id, coalesce(copy, rows.id)) AS copy_of, c AS class_id, rows.id = c AS kept FROM rows JOIN comp ON comp.id = rows.id LEFT JOIN copies USING (r)"""
 
 OP5 = f"""WITH rows AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
     lines AS (SELECT r, doc_id, unnest(generate_series(1, len(lines))) AS p, unnest(lines) AS line FROM rows),

@@ -65,13 +65,14 @@ def test_overlaps():
 
 
 def brute_classes(rows, threshold=0.8):
-    """Smallest document reachable by links, by all pairs."""
-    sets = defaultdict(set)
+    """Smallest document reachable by links, by all pairs of rows; rows of one
+    id are in one class."""
+    sets = []
     for doc, text in rows:
         words = (text or "").split()
         n = min(5, len(words))
         if words:
-            sets[doc] |= {tuple(words[k : k + n]) for k in range(len(words) - n + 1)}
+            sets.append((doc, {tuple(words[k : k + n]) for k in range(len(words) - n + 1)}))
     up = {doc: doc for doc, _ in rows}
 
     def root(x):
@@ -79,9 +80,8 @@ def brute_classes(rows, threshold=0.8):
             x = up[x]
         return x
 
-    found = list(sets.items())
-    for i, (d, a) in enumerate(found):
-        for e, b in found[:i]:
+    for i, (d, a) in enumerate(sets):
+        for e, b in sets[:i]:
             if min(len(a), len(b)) >= threshold * max(len(a), len(b)) and len(a & b) >= threshold * len(a | b) - 1e-9:
                 x, y = sorted((root(d), root(e)))
                 up[y] = x
@@ -116,6 +116,25 @@ def test_near_duplicates_of_documents(docs):
         assert got == brute_classes(rows)
 
 
+def test_rows_that_share_an_id(spark):
+    """Different texts of one id, null or not, and many rows that are the same."""
+    rng = np.random.default_rng(14)
+    base = [[f"b{t}x{k}" for k in range(60)] for t in range(12)]
+    rows = [(int(rng.integers(0, 40)), edited(rng, base[rng.integers(0, 12)], rng.choice([0, 0, 0.02]))) for _ in range(90)]
+    rows += [(50, " ".join(base[0]))] * 300 + [(51, "other words than those of all the others")]
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    want = brute_classes(list(dict.fromkeys(rows)))
+    first = {}
+    for doc, text in rows:
+        first[text] = min(doc, first.get(text, doc))
+    assert Counter((r["doc"], r.copy_of, r.class_id) for r in got) == Counter((d, first[t], want[d]) for d, t in rows)
+    assert len(set(want.values())) > 1
+    some = [(None, " ".join(base[1])), (None, " ".join(base[2])), (4, " ".join(base[2])), (5, " ".join(base[3])), (4, " ".join(base[3]))]
+    got = {(r["doc"], r.copy_of, r.class_id) for r in minhash.near_duplicates(spark.createDataFrame(some, "doc_id long, text string")).collect()}
+    null = common.NULL_ID
+    assert got == {(null, null, null), (4, null, null), (4, 4, null), (5, 4, null)}
+
+
 def test_near_duplicate_edges(edge, none):
     got = minhash.near_duplicates(edge).collect()
     rows = [(common.NULL_ID if r.doc_id is None else r.doc_id, r.text) for r in edge.collect()]
@@ -212,12 +231,50 @@ def test_embedding_lengths(spark):
 
 def test_traversal_is_in_order():
     rng = np.random.default_rng(9)
-    for _ in range(30):
-        d1, d2 = rng.random(7), rng.random(5)
-        sums = (d1[:, None] + d2[None]).reshape(-1)
-        got = embed_dedup.traverse(d1, d2, 20)
-        assert len(set(got)) == 20 and np.allclose(sums[got], np.sort(sums)[:20])
-    assert len(embed_dedup.traverse(d1, d2, 99)) == 35
+    for m, k1, k2, reach in ((1, 7, 5, 0.4), (30, 7, 5, 0.3), (8, 1, 9, 0.5), (5, 6, 6, 9.0), (4, 3, 3, 0.0)):
+        d1, d2 = rng.random((m, k1)), rng.random((m, k2))
+        sums = (d1[:, :, None] + d2[:, None]).reshape(m, -1)
+        rows, cells = embed_dedup.traverse(d1, d2, reach)
+        for r in range(m):
+            own = cells[rows == r]
+            assert set(own.tolist()) == set(np.flatnonzero(sums[r] - sums[r].min() <= reach + 1e-15).tolist())
+            assert own[0] == sums[r].argmin() and (np.diff(sums[r][own]) >= 0).all()
+        assert (np.diff(rows) >= 0).all()
+    assert len(embed_dedup.traverse(rng.random((3, 4)), rng.random((3, 5)), 99.0)[0]) == 60
+
+
+def test_units_of_a_column_are_those_of_each():
+    import pyarrow as pa
+
+    rows = [[1.0, 2.0], None, [], [0.0, 0.0], [3.0], [1e300, 1e300, 1.0], [1e-320, 0.0], [None, 1.0], [float("nan"), 1.0], [float("-inf"), 1.0], [-1.0, 5.0], [2.0, 4.0]]
+    got = embed_dedup.units(pa.array(rows, pa.list_(pa.float64())))
+    for row, v in zip(rows, got, strict=True):
+        want = embed_dedup.unit(row)
+        assert (v is None) == (want is None) and (v is None or np.allclose(v, want, rtol=1e-15, atol=0))
+    assert (got[0] == got[11]).all()
+
+
+def test_recall_and_rows_dealt(spark):
+    """The vectors of sf0.1 with copies at just the threshold: in more than
+    100 cells, at the production settings."""
+    base = np.array([r[0] for r in spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").orderBy("vec_id").select("embedding").collect()], dtype=np.float64)
+    rng = np.random.default_rng(12)
+    some = base[rng.permutation(len(base))[:600]]
+    some /= np.linalg.norm(some, axis=1)[:, None]
+    noise = rng.standard_normal(some.shape)
+    noise[::3, :32] = 0  # a third of the copies differ in one half only
+    noise -= (noise * some).sum(1)[:, None] * some
+    near = 0.9502 * some + np.sqrt(1 - 0.9502**2) * noise / np.linalg.norm(noise, axis=1)[:, None]
+    rows = [(k, v.tolist()) for k, v in enumerate(np.concatenate([base, near]))]
+    df = spark.createDataFrame([(*r, 0, "", 0) for r in rows], "vec_id long, embedding array<double>, label int, rep string, n int")
+    want = brute_links(rows)
+    got = Counter((r.vec, r.n_links, r.component) for r in embed_dedup.embedding_links(df).collect())
+    found, there = (sum(n * c for (_, n, _), c in x.items()) for x in (got, want))
+    x = base / np.linalg.norm(base, axis=1)[:, None]
+    index = embed_dedup.MultiIndex(x, round((len(rows) / embed_dedup.CELL_ROWS) ** 0.5), 0.95, embed_dedup.TARGET_RECALL)
+    visited = len(index.visits(x)[0]) / len(x)
+    print(f"recall {found / there:.4f} of {there} links' ends, {index.cells} cells, {visited:.2f} visited by a vector")
+    assert there >= 1200 and found >= 0.99 * there and index.cells > 100 and 1 + visited < 8
 
 
 def test_pipeline(spark, tmp_path):
