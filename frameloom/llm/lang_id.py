@@ -8,17 +8,23 @@ n characters and a sample of N, the cross entropy is about c * log2(N) / n bits
 a character; the language with the least wins, ties go to the name that sorts
 first.
 
-The automaton is laid out as a table: for each state and symbol the state that
-follows, with the number of phrases that end there. Parsing then is one table
-look-up a character, done by NumPy for thousands of texts at a time. Columns are
-for the ``COLUMNS`` most frequent characters of all samples; transitions by any
-other character of a sample are sorted pairs, found by bisection. Texts of
-more than ``CHUNK`` characters run in parts of that size, each part a new
-phrase at its start: at most one phrase more in about a thousand characters,
-the same for all languages.
+The automata are laid out as one double array: a state's transition by a
+symbol lies at the state's base plus the symbol, where the state's own number
+says that it does. So memory grows with the samples, whatever the alphabet.
+Parsing is a few look-ups a character, done by NumPy for thousands of texts at
+a time. Texts of more than ``CHUNK`` characters run in parts: each part is
+parsed as if a phrase began there, and then again from the state in which the
+part before ends, until both are in the same state, which they share from there
+on. That takes a few dozen characters, and the counts are those of the whole.
 
 Training reads text and label only; at most ``docs`` texts a language, spread
-over the corpus by a hash of the text, and ``chars`` characters of each.
+over the corpus by a hash of the text, and ``chars`` characters of each. Every
+label is a language, and every character of the samples a symbol.
+
+Null texts and texts without letters are ``und``; repeated rows are predicted
+each by itself; an empty table, or one without labels, has no languages and
+every row of it is ``und``. Carried columns may have any names, but those of
+results give way to these.
 """
 
 from __future__ import annotations
@@ -35,15 +41,11 @@ from pyspark.sql import functions as F
 from . import common
 
 CHUNK = 4096
-#: Characters with a column of their own in the table; bounds its size, not the alphabet.
-COLUMNS = 255
-#: A character is at most 0x10FFFF, and so is the number of a symbol.
-SYMBOL_BITS = 21
+#: Above all symbols: a character is at most 0x10FFFF.
+NO_LETTER = 1 << 21
 #: Characters parsed at a time; bounds a worker's memory.
 SLICE = 1 << 20
 UNKNOWN = "und"
-#: Bounds what training gathers.
-MOST_LANGS = 1000
 
 
 def normalise(text: str) -> str:
@@ -87,6 +89,54 @@ class SuffixAutomaton:
         return len(self.next) - 1
 
 
+class Transitions:
+    """Transitions of numbered states as a double array."""
+
+    #: Places tried for a state before new room is taken.
+    TRIES = 64
+
+    def __init__(self, rows: list[dict[int, int]], symbols: int):
+        """``rows``: for each state the symbols (from 1 to ``symbols``) and the
+        states that follow."""
+        self.base = np.zeros(len(rows), dtype=np.int32)
+        used = bytearray(2 * symbols + 2)
+        place: list[tuple[int, int, int]] = []
+        floor = symbols + 1
+        for state in sorted((k for k, row in enumerate(rows) if len(row) > 1), key=lambda k: -len(rows[k])):
+            own = sorted(rows[state])
+            low, wide, at = own[0], own[-1] - own[0], floor
+            for _ in range(self.TRIES):
+                at = used.find(0, at)
+                if at < 0 or at + wide >= len(used):
+                    used.extend(bytes(len(used) + wide + 1))
+                    at = used.find(0, max(at, floor)) if at >= 0 else used.find(0, floor)
+                if not any(used[at + c - low] for c in own):
+                    break
+                at += 1
+            else:
+                at = len(used.rstrip(b"\0"))
+                used.extend(bytes(max(0, at + wide + 1 - len(used))))
+                floor = max(floor, at - 4 * symbols)
+            self.base[state] = at - low
+            for c in own:
+                used[at + c - low] = 1
+                place.append((at + c - low, state, rows[state][c]))
+        # The others have one transition, and take what is free.
+        single = [(k, *next(iter(row.items()))) for k, row in enumerate(rows) if len(row) == 1]
+        free = np.flatnonzero(np.frombuffer(used, dtype=np.uint8) == 0)
+        free = free[free > symbols][: len(single)]
+        free = np.concatenate([free, len(used) + np.arange(len(single) - len(free))]).astype(np.int64)
+        where, state, to = (np.array(x, dtype=np.int64) for x in (zip(*place, strict=True) if place else ((), (), ())))
+        if single:
+            k, c, then = (np.array(x, dtype=np.int64) for x in zip(*single, strict=True))
+            self.base[k] = free - c
+            where, state, to = np.concatenate([where, free]), np.concatenate([state, k]), np.concatenate([to, then])
+        # A base is 0 at least, and a symbol after it lies within the array.
+        size = int(max(where.max(initial=0), self.base.max(initial=0))) + symbols + 1
+        self.owner, self.then = np.full(size, -1, dtype=np.int32), np.zeros(size, dtype=np.int32)
+        self.owner[where], self.then[where] = state, to
+
+
 class Parser:
     """Counts phrases of many texts against every language's sample."""
 
@@ -96,66 +146,25 @@ class Parser:
         # Symbol 0 is whatever no sample has.
         letters = sorted(counts, key=lambda c: (-counts[c], c))
         self.symbol = {c: k + 1 for k, c in enumerate(letters)}
-        self.wide = min(len(letters), COLUMNS) + 1
         self.bits = [math.log2(max(2, len(samples[x]))) for x in self.langs]
-        tables, self.roots, before = [], [], 0
-        keys: list[int] = []
-        values: list[int] = []
+        rows: list[dict[int, int]] = []
+        roots = []
         for lang in self.langs:
-            tables.append(self._table(SuffixAutomaton(samples[lang]), before, keys, values))
-            self.roots.append(before * self.wide)
-            before += len(tables[-1]) // self.wide
-        # An entry is 4 * (first entry of the state that follows) + phrases that end.
-        self.table = np.concatenate(tables) if tables else np.zeros(0, dtype=np.int64)
-        if 4 * len(self.table) < 1 << 31:
-            self.table = self.table.astype(np.int32)
-        # What follows by symbols without a column, by (first entry of the state, symbol).
-        order = np.argsort(np.array(keys, dtype=np.int64))
-        self.rare_keys = np.array(keys, dtype=np.int64)[order]
-        self.rare_next = np.array(values, dtype=self.table.dtype)[order]
+            before = len(rows)
+            roots.append(before)
+            rows += [{self.symbol[c]: before + to for c, to in own.items()} for own in SuffixAutomaton(samples[lang]).next]
+        self.roots = np.array(roots, dtype=np.int32)
+        self.moves = Transitions(rows, len(letters))
+        # Where a phrase leads that begins with a symbol: by symbol and language, the root if the sample lacks it.
+        self.begin = np.tile(self.roots, (len(letters) + 1, 1))
+        for k, root in enumerate(roots):
+            for c, to in rows[root].items():
+                self.begin[c, k] = to
         self.codes = np.zeros(0x110000, dtype=np.int32)
         self.codes[:] = -1
         for c, k in self.symbol.items():
             self.codes[ord(c)] = k
 
-    def _table(self, automaton: SuffixAutomaton, before: int, keys: list[int], values: list[int]) -> np.ndarray:
-        wide, states = self.wide, len(automaton.next)
-        entry = lambda state, ended: 4 * (before + state) * wide + ended
-        # Without a match the phrase ends, and the character begins the next one or is one by itself.
-        fresh = np.full(wide, entry(0, 2), dtype=np.int64)
-        alone = np.full(wide, entry(0, 1), dtype=np.int64)
-        for c, to in automaton.next[0].items():
-            if (k := self.symbol[c]) < wide:
-                fresh[k], alone[k] = entry(to, 1), entry(to, 0)
-        table = np.tile(fresh, (states, 1))
-        table[0] = alone
-        for state, following in enumerate(automaton.next):
-            for c, to in following.items():
-                if (k := self.symbol[c]) < wide:
-                    table[state, k] = entry(to, 0)
-                else:
-                    keys.append((before + state) * wide << SYMBOL_BITS | k)
-                    values.append(entry(to, 0))
-        return table.reshape(-1)
-
-    def _find(self, at: np.ndarray, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Whether symbols without a column follow, and what then does."""
-        wanted = at.astype(np.int64) << SYMBOL_BITS | symbols
-        spot = np.minimum(np.searchsorted(self.rare_keys, wanted), len(self.rare_keys) - 1)
-        return self.rare_keys[spot] == wanted, self.rare_next[spot]
-
-    def _rare(self, at: np.ndarray, symbols: np.ndarray) -> np.ndarray:
-        """Entries for symbols without a column, by text and language."""
-        roots = np.array(self.roots, dtype=self.table.dtype)
-        symbols = symbols.astype(np.int64)
-        known, then = self._find(at, symbols[:, None])
-        # As in the table: without a match the phrase ends, and the character begins the next one or is one by itself.
-        # Each symbol begins at the roots in one way only, so they are asked once for each.
-        distinct, which = np.unique(symbols, return_inverse=True)
-        begins, first = (x[which] for x in self._find(roots[None], distinct[:, None]))
-        ended = (at != roots).astype(self.table.dtype)
-        return np.where(known, then, np.where(begins, first + ended, 4 * roots + 1 + ended))
-
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Symbols of all normalised texts, and how many each has."""
         # A line end parts the texts: it is not a letter, and lower() makes none.
@@ -164,10 +173,10 @@ class Parser:
         other = np.unique(chars[codes == -1])
         letter = np.array([chr(c).isalpha() for c in other], dtype=bool)
         lookup = np.zeros(int(other.max(initial=0)) + 1, dtype=np.int32)
-        lookup[other[~letter]] = 1 << SYMBOL_BITS  # above all symbols
+        lookup[other[~letter]] = NO_LETTER
         rest = codes == -1
         codes[rest] = lookup[chars[rest]]
-        space = (codes == 1 << SYMBOL_BITS) | (codes == self.symbol.get(" ", -9))
+        space = (codes == NO_LETTER) | (codes == self.symbol.get(" ", -9))
         ends = np.flatnonzero(chars == 10)
         text_of = np.zeros(len(chars), dtype=np.int32)
         text_of[ends] = 1
@@ -185,6 +194,16 @@ class Parser:
         chosen = keep | gap
         return codes[chosen], np.bincount(text_of[chosen], minlength=len(texts))
 
+    def _step(self, at: np.ndarray, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The states after one symbol each, and how many phrases have ended:
+        without a match the phrase before, and the character itself if it
+        begins none."""
+        spot = self.moves.base[at] + symbols[:, None]
+        known = self.moves.owner[spot] == at
+        begin = self.begin[symbols]
+        ended = ((at != self.roots).view(np.int8) + (begin == self.roots).view(np.int8)) * ~known
+        return np.where(known, self.moves.then[spot], begin), ended
+
     def phrases(self, symbols: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Phrases by text and language."""
         parts = -(-sizes // CHUNK)
@@ -193,37 +212,57 @@ class Parser:
         begin = np.repeat(np.cumsum(sizes) - sizes, parts) + offset * CHUNK
         size = np.minimum(np.repeat(sizes, parts) - offset * CHUNK, CHUNK)
         order = np.argsort(-size, kind="stable")
-        begin, size, text_of = begin[order], size[order], text_of[order]
         n = len(self.langs)
-        at = np.tile(np.array(self.roots, dtype=self.table.dtype), (len(begin), 1))
+        at = np.tile(self.roots, (len(begin), 1))
         count = np.zeros((len(begin), n), dtype=np.int64)
-        live = len(begin)
         # The lanes that reach step t are the first so many, for they are sorted by size.
-        upto = np.searchsorted(-size, -np.arange(int(size.max(initial=0))), side="left")
-        any_rare = bool((symbols >= self.wide).any())
+        upto = np.searchsorted(-size[order], -np.arange(int(size.max(initial=0))), side="left")
+        first = begin[order]
         for t in range(len(upto)):
             live = int(upto[t])
-            now = symbols[begin[:live] + t]
-            if any_rare and len(rare := np.flatnonzero(now >= self.wide)):
-                found = self._rare(at[rare], now[rare])
-                now[rare] = 0
-                step = self.table[at[:live] + now[:, None]]
-                step[rare] = found
-            else:
-                step = self.table[at[:live] + now[:, None]]
-            count[:live] += step & 3
-            at[:live] = step >> 2
-        count += at != np.array(self.roots)
+            at[:live], ended = self._step(at[:live], symbols[first[:live] + t])
+            count[:live] += ended
+        at[order], count[order] = at.copy(), count.copy()
+        # A part goes on from the state that the one before ends in, which seldom depends on where that began.
+        fresh, start, gained = at, np.tile(self.roots, (len(begin), 1)), np.zeros_like(count)
+        at = fresh.copy()
+        while True:
+            wanted = np.where((offset > 0)[:, None], np.roll(at, 1, axis=0), self.roots)
+            todo = np.flatnonzero((wanted != start).any(axis=1))
+            if not len(todo):
+                break
+            start[todo] = wanted[todo]
+            gained[todo], at[todo] = self._joined(symbols, begin[todo], size[todo], start[todo], fresh[todo])
+        count += gained
+        last = np.append(offset[1:] == 0, True)[: len(offset)]
+        count[last] += (at != self.roots)[last]
         out = np.zeros((len(sizes), n), dtype=np.int64)
         np.add.at(out, text_of, count)
         return out
 
+    def _joined(self, symbols: np.ndarray, begin: np.ndarray, size: np.ndarray, start: np.ndarray, fresh: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For parts that begin in state ``start``: the phrases that they end
+        beyond those from a fresh beginning, and the states that they end in
+        (``fresh``, if both ways meet)."""
+        gained, end = np.zeros(start.shape, dtype=np.int64), fresh.copy()
+        live, a, b, t = np.arange(len(begin)), start, np.tile(self.roots, (len(begin), 1)), 0
+        while len(live):
+            now = symbols[begin[live] + t]
+            (a, x), (b, y) = self._step(a, now), self._step(b, now)
+            gained[live] += x.astype(np.int64) - y
+            t += 1
+            met, over = (a == b).all(axis=1), size[live] <= t
+            end[live[over]] = a[over]
+            on = ~met & ~over
+            live, a, b = live[on], a[on], b[on]
+        return gained, end
+
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         """Language and score of each text. The score is how far the second
         best language is behind, as a share of its entropy."""
         langs, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
         known = [k for k, t in enumerate(texts) if t and has_letter(t)] if self.langs else []
-        for a, b in common.slices([len(texts[k]) for k in known], SLICE) if known else ():
+        for a, b in common.slices([len(texts[k]) for k in known], SLICE // (1 + len(self.langs) // 64)) if known else ():
             symbols, sizes = self.encode([texts[k] for k in known[a:b]])
             entropy = self.phrases(symbols, sizes) * np.array(self.bits) / np.maximum(sizes, 1)[:, None]
             first = entropy.argmin(axis=1)
@@ -242,9 +281,7 @@ def sample(docs: DataFrame, learn: Column, *, docs_a_lang: int = 64, chars: int
     rows = docs.filter(learn & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text", F.xxhash64("text").alias("h"))
     rows = rows.withColumn("k", F.pmod("h", F.lit(docs_a_lang)))
     # docs_a_lang hashes for each language come to the driver, and go out again to pick the rows.
-    least = rows.groupBy("lang", "k").agg(F.min("h").alias("h")).limit(MOST_LANGS * docs_a_lang + 1).collect()
-    if len(least) > MOST_LANGS * docs_a_lang:
-        raise ValueError(f"more than {MOST_LANGS} languages; are these labels of languages?")
+    least = rows.groupBy("lang", "k").agg(F.min("h").alias("h")).collect()
     if not least:
         return {}
     chosen = docs.sparkSession.createDataFrame(least, "lang string, k long, h long")
@@ -255,12 +292,12 @@ def sample(docs: DataFrame, learn: Column, *, docs_a_lang: int = 64, chars: int
     return {lang: " ".join(filter(None, own)) for lang, own in texts.items() if any(own)}
 
 
-_PARSERS: dict[int, Parser] = {}
+_PARSERS: dict[tuple, Parser] = {}
 
 
 def _parser(samples: dict[str, str]) -> Parser:
     """One for each Python worker and set of samples."""
-    key = hash(tuple(sorted(samples.items())))
+    key = tuple(sorted(samples.items()))
     if key not in _PARSERS:
         _PARSERS.clear()
         _PARSERS[key] = Parser(samples)
@@ -271,17 +308,21 @@ def predict(docs: DataFrame, samples: dict[str, str], carry: list[str]) -> DataF
     """The ``carry`` columns with fl_lang (``und`` for null texts and texts
     without letters) and fl_score, one row for each row of ``docs``. Without
     samples every language is ``und``."""
+    found = _predicted(docs.select(common.carried(carry), F.col("text").cast("string").alias("fl_text")), samples)
+    return found.select(*common.spread(carry, ["fl_lang", "fl_score"]))
+
+
+def _predicted(rows: DataFrame, samples: dict[str, str]) -> DataFrame:
+    """The columns of (.., fl_text) but the text, with fl_lang and fl_score."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parser = _parser(samples)
         for batch in batches:
-            keep = [k for k, name in enumerate(batch.schema.names) if name != "fl_text"]
-            langs, scores = parser.predict(batch.column("fl_text").to_pylist())
-            cols = [*(batch.column(k) for k in keep), pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
-            yield pa.RecordBatch.from_arrays(cols, [*(batch.schema.names[k] for k in keep), "fl_lang", "fl_score"])
+            langs, scores = parser.predict(batch.columns[-1].to_pylist())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], [*batch.schema.names[:-1], "fl_lang", "fl_score"])
 
-    kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*carry).schema)
-    return docs.select(*carry, F.col("text").cast("string").alias("fl_text")).mapInArrow(run, f"{kind}, fl_lang string, fl_score double")
+    kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[:-1])
+    return rows.mapInArrow(run, f"{kind}, fl_lang string, fl_score double")
 
 
 def held_out() -> Column:
@@ -296,5 +337,5 @@ def language_id(docs: DataFrame, *, carry: list[str] | None = None, docs_a_lang:
     fl_score."""
     carry = ["doc_id"] if carry is None else carry
     samples = sample(docs, ~held_out(), docs_a_lang=docs_a_lang, chars=chars)
-    marked = docs.withColumn("fl_held_out", held_out())
-    return predict(marked, samples, [*carry, "fl_held_out"])
+    rows = docs.select(common.carried(carry), held_out().alias("fl_held_out"), F.col("text").cast("string").alias("fl_text"))
+    return _predicted(rows, samples).select(*common.spread(carry, ["fl_held_out", "fl_lang", "fl_score"]))
