@@ -8,31 +8,44 @@ meets its window, so at every slot each source's share is off its target by
 less than one block. After D slots all sources are exactly on target, so the
 schedule of D slots repeats and the slot of any block follows from its number.
 
-When a source has no blocks left, the others go on with their weights and a new
-schedule: all documents are kept, and the targets hold as far as the sources
-reach. A source's documents are ordered by a hash of doc_id and text.
-
-The driver sees one count for each source and a table of slots for each source
-and phase (there are at most as many phases as sources). A source's documents
-are numbered in two levels, within hash classes of about ``class_rows`` rows
-and over the classes, so a source with a third of all rows is no hot spot.
-
-Documents without source form a source of their own. A source without a weight
-has ``other``; weights are positive whole numbers. Repeated rows each have a
-place; an empty table gives an empty result.
+Sources that the weights don't name share the weight ``other`` as one group
+and take turns in it, each in every round while it has blocks, the larger ones
+first. So a plan depends on the weights only, and there may be any number of
+sources. Before round j the group has had as many blocks as the sum of
+min(blocks, j) over its sources, which follows from a table of the distinct
+numbers of blocks; N blocks allow no more than sqrt(2 N) of these.
+
+When a source or the group has no blocks left, the others go on with their
+weights and a new schedule: all documents are kept, and the targets hold as far
+as the sources reach. A source's documents are ordered by a hash of doc_id and
+text.
+
+Documents are numbered in the order of (source, hash) by ranges: one shuffle
+and sort, written; a document's number is its place in its partition plus what
+the partitions before have of that source. A source with a third of all rows,
+or as many equal rows, spreads over partitions. The driver sees a count for each
+named source, the group's distinct numbers of blocks, and a table of slots for
+each named source and phase (at most as many phases as named sources and one).
+
+Documents without source form a source of their own, which the weight of None
+names. Weights are positive whole numbers. Null and very long texts are only
+hashed. Repeated rows each have a place; an empty table gives an empty result;
+carried columns may have any names, but those of results give way to these.
 """
 
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
 
-#: Bounds what the driver plans and broadcasts.
-MOST_SOURCES = 1_000
+#: Slots that the driver plans for all phases and sources, at most: a bound on weights, whatever the documents.
 MOST_SLOTS = 1 << 22
 
 
@@ -80,39 +93,93 @@ def phases(blocks: dict[str, int], weights: dict[str, int]) -> list[dict]:
     return rows
 
 
-def mix(docs: DataFrame, weights: dict[str, int] | None = None, *, other: int = 1, block_rows: int = 32, class_rows: int = 2_000, carry: list[str] | None = None) -> DataFrame:
+#: Bits of monotonically_increasing_id() for the place in a partition.
+_PLACE = 33
+
+
+def numbered(df: DataFrame, order: list[Column | str], scratch: common.Scratch, name: str) -> DataFrame:
+    """df, written, with fl_part and fl_at: rows ascend by these in the order
+    given, and those of a part have consecutive places."""
+    rows = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("fl_at", F.monotonically_increasing_id())
+    rows = rows.withColumns({"fl_part": F.shiftright("fl_at", _PLACE), "fl_at": F.col("fl_at").bitwiseAND((1 << _PLACE) - 1)})
+    return scratch.keep(rows, name)
+
+
+class Rounds:
+    """What a group that takes turns has had before a round: from (blocks,
+    how many sources have them), ascending."""
+
+    def __init__(self, counts: list[tuple[int, int]]):
+        self.blocks = np.array([0, *(b for b, _ in counts)], dtype=np.int64)
+        n = np.array([0, *(k for _, k in counts)], dtype=np.int64)
+        self.ended = np.cumsum(n * self.blocks)  # blocks of the sources that have no more than so many
+        self.alive = n.sum() - np.cumsum(n)  # sources that have more
+
+    def before(self, j: np.ndarray) -> np.ndarray:
+        k = np.searchsorted(self.blocks, j, side="right") - 1
+        return self.ended[k] + self.alive[k] * j
+
+    @property
+    def total(self) -> int:
+        return int(self.ended[-1])
+
+
+def mix(docs: DataFrame, weights: dict[str, int] | None = None, *, other: int = 1, block_rows: int = 32, carry: list[str] | None = None) -> DataFrame:
     """The ``carry`` columns (doc_id, source if not given) with fl_block (of
     the source), fl_slot and fl_position (the place in the mix; its order is
     that of the slots, with gaps after a source's last block)."""
     spark = docs.sparkSession
     scratch = common.Scratch(spark, "mixing")
     carry = ["doc_id", "source"] if carry is None else carry
-    # A source's name and whether it has one: no name can clash with null.
-    name: Column = F.when(F.col("source").isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), F.col("source").cast("string")))
-    whole = docs.select(*carry, name.alias("fl_source"), common.key_of("doc_id").alias("fl_doc"), F.xxhash64(F.lit(1), "doc_id", "text").alias("fl_h"), F.xxhash64("text").alias("fl_text"))
-    counts = {r[0]: r[1] for r in whole.groupBy("fl_source").agg(F.count("*")).limit(MOST_SOURCES + 1).collect()}
-    if len(counts) > MOST_SOURCES:
-        raise ValueError(f"there are more than {MOST_SOURCES} sources; group them first")
-    if not counts:
-        return docs.select(*carry).withColumns({c: F.lit(None).cast("long") for c in ("fl_block", "fl_slot", "fl_position")})
-    chosen = {s: (weights or {}).get(s[1:] if s[0] == "+" else None, other) for s in counts}
-    if bad := [s for s, w in chosen.items() if not isinstance(w, int) or w < 1]:
+    # A source's name and whether it has one: no name can clash with null. The group's name is none of these.
+    label = lambda s: "-" if s is None else f"+{s}"
+    group, chosen = "*", {label(s): w for s, w in (weights or {}).items()}
+    if bad := [s for s, w in [*chosen.items(), (group, other)] if not isinstance(w, int) or w < 1]:
         raise ValueError(f"weights must be positive whole numbers: {bad}")
-    if sum(chosen.values()) * len(chosen) > MOST_SLOTS:
-        raise ValueError("the weights' sum times the number of sources is too large; use smaller weights")
-    slots = phases({s: -(-n // block_rows) for s, n in counts.items()}, chosen)
-    slots = spark.createDataFrame([tuple(r.values()) for r in slots], "fl_source string, first long, last long, base long, period long, slots array<long>")
-    sizes = spark.createDataFrame(list(counts.items()), "fl_source string, n long").select("fl_source", F.expr(f"greatest(1, n div {class_rows})").alias("fl_classes"))
-    whole = whole.join(F.broadcast(sizes), "fl_source").withColumn("fl_class", F.expr("pmod(shiftrightunsigned(fl_h, 1), fl_classes)"))
-    classes = whole.groupBy("fl_source", "fl_class").agg(F.count("*").alias("n"))
-    before = Window.partitionBy("fl_source").orderBy("fl_class").rowsBetween(Window.unboundedPreceding, -1)
-    classes = scratch.keep(classes.select("fl_source", "fl_class", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("fl_before")), "classes")
-    inside = Window.partitionBy("fl_source", "fl_class").orderBy("fl_h", "fl_doc", "fl_text")
-    placed = whole.withColumn("fl_k", F.row_number().over(inside) - 1).join(classes, ["fl_source", "fl_class"]).withColumn("fl_k", F.col("fl_k") + F.col("fl_before"))
+    if (sum(chosen.values()) + other) * (len(chosen) + 1) > MOST_SLOTS:
+        raise ValueError("the weights' sum times their number is too large; use smaller weights")
+    source = F.when(F.col("source").isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), F.col("source").cast("string")))
+    # The last key parts even equal rows. Once written, places are fixed.
+    whole = docs.select(common.carried(carry), source.alias("fl_source"), F.xxhash64(F.lit(1), "doc_id", "text").alias("fl_h"), F.monotonically_increasing_id().alias("fl_salt"))
+    rows = numbered(whole, ["fl_source", "fl_h", "fl_salt"], scratch, "rows")
+    # A row for each source and part that has some of it.
+    runs = rows.groupBy("fl_source", "fl_part").agg(F.min("fl_at").alias("fl_first"), F.count("*").alias("fl_n"))
+    before = Window.partitionBy("fl_source").orderBy("fl_part").rowsBetween(Window.unboundedPreceding, -1)
+    runs = scratch.keep(runs.withColumn("fl_before", F.coalesce(F.sum("fl_n").over(before), F.lit(0))), "runs")
+    sources = runs.groupBy("fl_source").agg(F.expr(f"cast(ceil(sum(fl_n) / {block_rows}) as long)").alias("fl_blocks"))
+    named = F.col("fl_source").isin(list(chosen)) if chosen else F.lit(False)
+    blocks = {r.fl_source: r.fl_blocks for r in sources.filter(named).collect()}
+    # Distinct numbers of blocks, of which there are few.
+    rounds = Rounds([tuple(r) for r in sources.filter(~named).groupBy("fl_blocks").count().orderBy("fl_blocks").collect()])
+    if rounds.total:
+        blocks[group], chosen[group] = rounds.total, other
+    # Turns in the group: by blocks, then by a hash of the name.
+    turns = numbered(sources.filter(~named), [F.col("fl_blocks").desc(), F.xxhash64("fl_source"), "fl_source"], scratch, "turns")
+    parts, base = [], 0
+    for part, n in turns.groupBy("fl_part").count().orderBy("fl_part").collect():
+        parts.append((part, base))
+        base += n
+    turns = turns.join(F.broadcast(spark.createDataFrame(parts, "fl_part long, fl_base long")), "fl_part").select("fl_source", (F.col("fl_at") + F.col("fl_base")).alias("fl_turn"))
+    runs = scratch.keep(runs.join(turns, "fl_source", "left").select("fl_source", "fl_part", "fl_first", "fl_before", "fl_turn"), "planned")
+
+    @F.pandas_udf("long")
+    def had(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for j in batches:
+            yield pd.Series(rounds.before(j.to_numpy()))
+
+    placed = rows.join(runs, ["fl_source", "fl_part"]).withColumn("fl_k", F.col("fl_at") - F.col("fl_first") + F.col("fl_before"))
     placed = placed.withColumn("fl_block", F.expr(f"fl_k div {block_rows}"))
-    on = (placed["fl_source"] == slots["fl_source"]) & (placed["fl_block"] >= slots["first"]) & (placed["fl_block"] < slots["last"])
-    # The slots are bounded by sources and weights, not by documents.
-    out = placed.join(F.broadcast(slots), on)
-    k = "(fl_block - first)"
-    slot = F.expr(f"base + {k} div size(slots) * period + slots[cast({k} % size(slots) as int)]")
-    return out.select(*(placed[c] for c in carry), "fl_block", slot.alias("fl_slot"), (slot * block_rows + F.col("fl_k") % block_rows).alias("fl_position"))
+    if rounds.total:
+        # How often the group has been served when a block's turn comes.
+        placed = placed.withColumn("fl_had", had("fl_block"))
+        placed = placed.withColumns({"fl_entity": F.when(F.col("fl_turn").isNull(), F.col("fl_source")).otherwise(F.lit(group)), "fl_seq": F.when(F.col("fl_turn").isNull(), F.col("fl_block")).otherwise(F.col("fl_had") + F.col("fl_turn"))})
+    else:
+        placed = placed.withColumns({"fl_entity": F.col("fl_source"), "fl_seq": F.col("fl_block")})
+    kind = "fl_entity string, fl_from long, fl_to long, fl_base long, fl_period long, fl_slots array<long>"
+    slots = spark.createDataFrame([tuple(r.values()) for r in phases(blocks, {s: chosen[s] for s in blocks})], kind)
+    # The slots are bounded by the weights, not by documents.
+    out = placed.join(F.broadcast(slots), "fl_entity").filter("fl_seq >= fl_from and fl_seq < fl_to")
+    k = "(fl_seq - fl_from)"
+    slot = F.expr(f"fl_base + {k} div size(fl_slots) * fl_period + fl_slots[cast({k} % size(fl_slots) as int)]")
+    out = out.withColumn("fl_slot", slot).withColumn("fl_position", F.col("fl_slot") * block_rows + F.col("fl_k") % block_rows)
+    return out.select(*common.spread(carry, ["fl_block", "fl_slot", "fl_position"]))

@@ -57,7 +57,7 @@ def test_phrases_are_the_greedy_parse():
         assert row.tolist() == [naive_phrases(plain, samples[x]) for x in ("x", "y")]
 
 
-def test_alphabets_beyond_the_columns_of_the_table():
+def test_large_alphabets():
     """Three languages of 900 letters each, and one of few; more than 2,000
     symbols in all, so that marks for spaces can't be taken for one."""
     rng = np.random.default_rng(5)
@@ -65,7 +65,7 @@ def test_alphabets_beyond_the_columns_of_the_table():
     words = {x: ["".join(rng.choice(letters, rng.integers(1, 5))) for _ in range(1500)] for x, letters in alphabets.items()}
     samples = {x: " ".join(own) for x, own in words.items()}
     parser = lang_id.Parser(samples)
-    assert len(parser.symbol) > 2000
+    assert len(parser.symbol) > 2000 and len(parser.moves.owner) < 4 * sum(len(s) * 2 for s in samples.values())
     texts = [" ".join(rng.choice(words[x], 12)) for x in "cdkx" for _ in range(10)]
     texts += [f"{chr(0xAC00 + 3)}1{chr(0x4E00 + 700)}ab {chr(0x9FA0)}, {chr(0x9FA1)}z", "".join(rng.choice(alphabets["c"], 40)), "", f"a{chr(0x9FA0)}"]
     symbols, sizes = parser.encode(texts)
@@ -76,13 +76,39 @@ def test_alphabets_beyond_the_columns_of_the_table():
     assert parser.predict(texts[:40])[0] == list("c" * 10 + "d" * 10 + "k" * 10 + "x" * 10)
 
 
-def test_long_texts_run_in_parts(monkeypatch):
-    parser = lang_id.Parser({"x": "abcabd abac", "y": "bbcc"})
-    text = "abc abd bbcc " * 40
-    whole = parser.phrases(*parser.encode([text]))
-    monkeypatch.setattr(lang_id, "CHUNK", 50)
-    parts = parser.phrases(*parser.encode([text]))
-    assert ((whole <= parts) & (parts <= whole + len(text) // 50 + 1)).all()
+@pytest.mark.parametrize("chunk", [1, 2, 7, 50])
+def test_parts_of_long_texts_count_as_the_whole(monkeypatch, chunk):
+    rng = np.random.default_rng(chunk)
+    samples = {"x": "abcabd abac", "y": "bbcc" * 30, "z": "".join(rng.choice(list("abc "), 300)), "long": "a" * 200}
+    parser = lang_id.Parser(samples)
+    texts = ["abc abd bbcc " * 40, "a" * 500, "".join(rng.choice(list("abcd "), 700)), "", "b", "bbcc" * 90 + "a" * 300, "q" * 120]
+    monkeypatch.setattr(lang_id, "CHUNK", chunk)
+    got = parser.phrases(*parser.encode(texts))
+    for text, row in zip(texts, got, strict=True):
+        plain = lang_id.normalise(text)
+        assert row.tolist() == [naive_phrases(plain, samples[x]) for x in sorted(samples)]
+
+
+def test_predictions_and_scores_are_those_of_a_plain_parse(docs):
+    samples = lang_id.sample(docs, ~lang_id.held_out(), docs_a_lang=6, chars=200)
+    some = [r for r in docs.orderBy("doc_id").collect() if r.text and len(r.text) < 3000][:60]
+    got = {r.doc_id: (r.fl_lang, r.fl_score) for r in lang_id.predict(docs.filter(F.col("doc_id").isin([r.doc_id for r in some])), samples, ["doc_id"]).collect()}
+    for r in some:
+        plain = lang_id.normalise(r.text)
+        cost = sorted((naive_phrases(plain, s) * np.log2(len(s)) / max(1, len(plain)), x) for x, s in samples.items())
+        if any(map(str.isalpha, r.text)):
+            assert got[r.doc_id][0] == cost[0][1] and got[r.doc_id][1] == pytest.approx(1 - cost[0][0] / cost[1][0])
+        else:
+            assert got[r.doc_id] == ("und", 0.0)
+
+
+def test_any_number_of_languages(spark):
+    """More labels than a thousand, and each is told apart."""
+    rows = [(2 * k, f"{chr(0x4E00 + k)}{chr(0x4E00 + 1300 + k)} " * 9, f"l{k:04}") for k in range(1200)]
+    found = lang_id.language_id(spark.createDataFrame(rows, "doc_id long, text string, lang string"), docs_a_lang=1, chars=20)
+    learned = {r.lang for r in spark.createDataFrame(rows, "doc_id long, text string, lang string").filter(~lang_id.held_out()).collect()}
+    of = dict((d, x) for d, _, x in rows)
+    assert len(learned) > 700 and all(r.fl_lang == of[r.doc_id] for r in found.collect() if of[r.doc_id] in learned)
 
 
 def test_language_of_held_out_documents(docs):
@@ -142,7 +168,7 @@ def test_phases_match_a_simulation():
 @pytest.mark.parametrize("which", ["docs", "edge"])
 def test_mix_places_every_row_once(request, which):
     df = request.getfixturevalue(which)
-    got = mixing.mix(df, {"src0": 4, "a": 3}, block_rows=2, class_rows=3).collect()
+    got = mixing.mix(df, {"src0": 4, "a": 3}, block_rows=2).collect()
     assert len(got) == df.count() and len({r.fl_position for r in got}) == len(got)
     assert Counter((r.doc_id, r.source) for r in got) == Counter((r.doc_id, r.source) for r in df.collect())
     slots = {}
@@ -153,7 +179,7 @@ def test_mix_places_every_row_once(request, which):
 
 def test_mix_follows_the_weights(spark):
     rows = spark.range(4000).selectExpr("id as doc_id", "cast(id as string) as text", "if(id % 4 = 0, 'rare', 'hot') as source")
-    got = sorted((r.fl_position, r.source) for r in mixing.mix(rows, {"rare": 1, "hot": 2}, block_rows=10, class_rows=100).collect())
+    got = sorted((r.fl_position, r.source) for r in mixing.mix(rows, {"rare": 1, "hot": 2}, block_rows=10).collect())
     seen = Counter()
     for n, (_, s) in enumerate(got[:2900], 1):
         seen[s] += 1
@@ -166,6 +192,59 @@ def test_mix_of_nothing(none):
     assert mixing.mix(none).count() == 0
 
 
+def test_mix_of_any_number_of_sources(spark):
+    """1,500 sources, of which two are named, one holds a third of the rows
+    and many rows are the same: every source that is not named takes its turn
+    in each round of the group."""
+    rng = np.random.default_rng(6)
+    sizes = {f"s{k}": int(rng.integers(1, 9)) for k in range(1500)} | {"hot": 3000, "s7": 40, "s8": 40}
+    rows = [(None if s == "hot" and k % 2 else k, "the same" if s == "hot" else f"{s} {k}", None if s == "s8" else s) for s, n in sizes.items() for k in range(n)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(7)
+    weights = {"s7": 2, None: 1}
+    got = mixing.mix(df, weights, other=3, block_rows=2).collect()
+    assert Counter((r.doc_id, r.source) for r in got) == Counter((d, s) for d, _, s in rows)
+    slots = defaultdict(set)
+    for r in got:
+        slots[r.fl_slot].add((r.source, r.fl_block))
+    assert sorted(slots) == list(range(len(slots))) and all(len(x) == 1 for x in slots.values())
+    order = [next(iter(slots[t])) for t in sorted(slots)]
+    group = [x for x in order if x[0] not in ("s7", None)]
+    blocks = Counter(s for s, _ in group)
+    assert [j for _, j in group] == sorted(j for _, j in group)  # round after round
+    turn = {s: k for k, (s, j) in enumerate(group) if j == 0}
+    assert sorted(turn, key=turn.get) == sorted(turn, key=lambda s: (-blocks[s], turn[s]))
+    for t in range(1, 4 * 9):  # all are there that long
+        seen = Counter("g" if s not in weights else s for s, _ in order[:t])
+        assert all(abs(seen[s] - t * w / 6) < 1 for s, w in (("s7", 2), (None, 1), ("g", 3)))
+
+
+def test_rounds_are_a_running_sum():
+    for sizes in ([], [1], [3, 1, 4, 1, 5, 9, 2, 6], [7] * 5):
+        rounds = mixing.Rounds(sorted(Counter(sizes).items()))
+        assert rounds.before(np.arange(12)).tolist() == [sum(min(b, j) for b in sizes) for j in range(12)] and rounds.total == sum(sizes)
+
+
+#: Names that operators use inside, or that their results have.
+CLASHES = ["base", "first", "last", "period", "slots", "k", "n", "doc", "node", "fl_doc", "fl_row", "fl_text", "fl_source", "fl_h", "fl_k", "fl_at", "fl_part", "fl_block", "fl_lang", "fl_held_out", "fl_lost", "fl_kept", "fl_n_lines", "fl_clean", "fl_again", "fl_email", "rep", "comp", "class_id", "Lost"]
+
+
+@pytest.mark.parametrize("empty", [False, True])
+def test_carried_columns_of_any_name(edge, empty):
+    df = (edge.limit(0) if empty else edge).select("doc_id", "text", "lang", "source", "n_chars")
+    df = df.withColumns({c: F.concat(F.lit(c), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))) for c in CLASHES})
+    want = Counter(tuple(r[c] for c in CLASHES if c[:3] != "fl_") for r in df.collect())
+    for run in (
+        lambda x: lang_id.language_id(x, carry=x.columns),
+        lambda x: line_dedup.line_dedup(x, carry=[c for c in x.columns if c != "text"]),
+        lambda x: mixing.mix(x, {"a": 2}, carry=x.columns),
+        lambda x: pii.pseudonymise(x, "k", carry=x.columns),
+        lambda x: pii.pseudonymise(x, "k", carry=x.columns, most_retries=-1),
+    ):
+        out = run(df)
+        assert len(out.columns) == len(set(out.columns))
+        assert Counter(tuple(r[c] for c in CLASHES if c[:3] != "fl_") for r in out.collect()) == want
+
+
 def brute_measures(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
     windows = Counter(zip(words, words[1:], words[2:], strict=False))
