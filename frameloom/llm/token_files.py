@@ -1,6 +1,6 @@
 """Token-id output: frequency-ranked ids in a byte-aligned variable-length code.
 
-A shard file holds whole documents in ascending ``doc_id`` order:
+A shard holds whole documents in ascending ``doc_id`` order:
 
     magic 8 bytes | version, ranked flag, n_docs, n_ids, start: five int64
     doc_id int64[n_docs] | ids of each document int64[n_docs]
@@ -8,31 +8,34 @@ A shard file holds whole documents in ascending ``doc_id`` order:
     data bytes: the id's rank, 1 to 4 little-endian bytes
 
 An id is stored as its rank by frequency over the whole corpus (ties: smaller
-id first), so the most frequent 256 take one byte. ``ranks.npy`` beside the
-shards maps rank to id. Control and data bytes lie apart; a 256 x 4 table turns
-control bytes into lengths, and cumulative sums of those into addresses, so
-NumPy decodes a shard without a loop over ids.
+id first), so the most frequent 256 take one byte. Control and data bytes lie
+apart; a table turns control bytes into the places of an id's bytes, so NumPy
+decodes a shard without a loop over ids.
 
-Writing takes one shuffle of the texts: they are dealt by ranges of doc_id,
-sorted, encoded once and written as raw shards; counts are summed over all
-shards; each shard is then rewritten in place with ranks. Files appear by
-renaming a finished one, under names that depend on the partition only, and a
-ranked shard is left as it is: tasks may run again at any time.
+A folder of token files holds ``shards`` (a row for each: part, seq, start,
+n_docs, n_ids, body), ``ranks`` (rank, id) and ``info``. Spark's writers commit
+them, so they appear whole or not at all on any store that Spark writes to, and
+no file is ever replaced. By (part, seq), as by start, shards ascend.
+
+Writing takes one shuffle of the texts: they are dealt by ranges of doc_id and
+of the first characters of the text, so that rows of one id or without any
+spread as well, sorted, encoded once and kept as raw shards in the scratch
+folder; counts are summed over all of them, and each raw shard is read once
+more to be written with ranks.
 
 Null text counts as empty. Rows with equal doc_id follow each other by text,
-null ids come first; an empty table gives no shards.
+null ids come first; an empty table gives no shards. A very long text is
+encoded whole and lies in one shard, however long; columns other than doc_id
+and text are not read.
 """
 
 from __future__ import annotations
 
-import io
-import json
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,57 +45,40 @@ from .subwords import encoder
 
 MAGIC = b"FLTOKEN1"
 HEAD = 8 + 5 * 8
-#: Lengths of the four ids of a control byte.
+#: Lengths of the four ids of a control byte, and which of ``wide`` bytes each of them has.
 LENGTHS = np.array([[1 + (c >> s & 3) for s in (0, 2, 4, 6)] for c in range(256)], dtype=np.uint8)
+MASKS = {wide: np.arange(wide, dtype=np.uint8) < LENGTHS[:, :, None] for wide in (2, 4)}
 
 
 def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Control and data bytes of non-negative values below 2**32."""
-    values = np.ascontiguousarray(values, dtype="<u4")
-    extra = (values > 0xFF).astype(np.uint8) + (values > 0xFFFF) + (values > 0xFFFFFF)
-    two = np.zeros(-len(values) % 4 + len(values), dtype=np.uint8)
-    two[: len(values)] = extra
-    two = two.reshape(-1, 4)
-    control = two[:, 0] | two[:, 1] << 2 | two[:, 2] << 4 | two[:, 3] << 6
-    most = int(extra.max(initial=0)) + 1
-    rows = values.view(np.uint8).reshape(-1, 4)[:, :most]
-    return control.astype(np.uint8), rows[np.arange(most, dtype=np.uint8) <= extra[:, None]]
+    n, wide = len(values), 2 if int(values.max(initial=0)) <= 0xFFFF else 4
+    values = np.ascontiguousarray(values, dtype=f"<u{wide}")
+    extra = np.zeros(-n % 4 + n, dtype=np.uint8)
+    extra[:n] = values > 0xFF
+    if wide == 4:
+        extra[:n] += (values > 0xFFFF).astype(np.uint8) + (values > 0xFFFFFF)
+    four = extra.view("<u4")
+    control = (four & 3 | four >> 6 & 12 | four >> 12 & 48 | four >> 18 & 192).astype(np.uint8)
+    return control, values.view(np.uint8).reshape(-1, wide)[MASKS[wide][control].reshape(-1, wide)[:n]]
 
 
 def unpack(control: np.ndarray, data: np.ndarray, n: int) -> np.ndarray:
-    """The n values as uint32, by table lookup."""
-    lengths = LENGTHS[control].reshape(-1)[:n]
-    at = np.cumsum(lengths, dtype=np.int64) - lengths
-    data = np.concatenate([data, np.zeros(3, dtype=np.uint8)])
-    values = data[at].astype(np.uint32)
-    for k in range(1, int(lengths.max(initial=1))):
-        longer = np.flatnonzero(lengths > k)
-        values[longer] |= data[at[longer] + k].astype(np.uint32) << np.uint32(8 * k)
-    return values
-
-
-def _write(path: str, body: bytes) -> None:
-    """The file appears whole or not at all."""
-    store, name = fs.FileSystem.from_uri(path)
-    task = TaskContext.get()
-    draft = f"{name}.{task.taskAttemptId() if task else 0}.tmp"
-    with store.open_output_stream(draft) as out:
-        out.write(body)
-    store.move(draft, name)
-
-
-def _read(path: str) -> bytes:
-    store, name = fs.FileSystem.from_uri(path)
-    with store.open_input_stream(name) as f:
-        return f.read()
+    """The n values, by table lookup: where each one's bytes go follows from
+    its control bits."""
+    wide = 2 if int(LENGTHS[control].max(initial=1)) <= 2 else 4
+    values = np.zeros((n, wide), dtype=np.uint8)
+    values[MASKS[wide][control].reshape(-1, wide)[:n]] = data
+    return values.reshape(-1).view(f"<u{wide}")
 
 
 def _head(ranked: bool, ids: np.ndarray, sizes: np.ndarray, start: int) -> bytes:
     return MAGIC + np.array([1, ranked, len(ids), int(sizes.sum()), start], dtype="<i8").tobytes() + ids.astype("<i8").tobytes() + sizes.astype("<i8").tobytes()
 
 
-def parse(body: bytes) -> tuple[bool, int, np.ndarray, np.ndarray, int]:
+def parse(body: bytes | pa.Buffer) -> tuple[bool, int, np.ndarray, np.ndarray, int]:
     """ranked, start, doc ids, ids of each document, and where the codes begin."""
+    body = memoryview(body)
     if body[:8] != MAGIC:
         raise ValueError("not a token file")
     version, ranked, n_docs, n_ids, start = np.frombuffer(body, "<i8", 5, 8).tolist()
@@ -104,48 +90,50 @@ def parse(body: bytes) -> tuple[bool, int, np.ndarray, np.ndarray, int]:
     return bool(ranked), start, ids, sizes, HEAD + 16 * n_docs
 
 
-def decode_shard(body: bytes, by_rank: np.ndarray) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
+def decode_shard(body: bytes | pa.Buffer, by_rank: np.ndarray) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
     """start, doc ids, ids of each document and all ids of a ranked shard."""
     ranked, start, ids, sizes, at = parse(body)
     if not ranked:
         raise ValueError("the shard has not been ranked")
     n = int(sizes.sum())
     split = at + -(-n // 4)
-    ranks = unpack(np.frombuffer(body, np.uint8, split - at, at), np.frombuffer(body, np.uint8, offset=split), n)
+    ranks = unpack(np.frombuffer(body, np.uint8, split - at, at), np.frombuffer(body, np.uint8)[split:], n)
     return start, ids, sizes, by_rank[ranks]
 
 
-def _raw_shards(tokenizer: str, uri: str, end_id: int | None, shard_ids: int):
+#: A raw shard: ids as they are, and what the whole corpus has to know of them.
+RAW = pa.schema([("part", pa.int64()), ("seq", pa.int64()), ("start", pa.int64()), ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("body", pa.binary()), ("ids", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64()))])
+SHARDS = "part long, seq long, start long, n_docs long, n_ids long, body binary"
+
+
+def _raw_shards(tokenizer: str, end_id: int | None, shard_ids: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, part = encoder(tokenizer), TaskContext.get().partitionId()
         tail = b"" if end_id is None else np.array([end_id], dtype=enc.dtype).tobytes()
         wide, before, seq = enc.dtype.itemsize, 0, 0
         docs: list[int] = []
-        sizes: list[int] = []
         codes: list[bytes] = []
         held = 0
 
         def shard() -> pa.RecordBatch:
             nonlocal before, seq, held
-            blob = b"".join(codes)
-            n = np.array(sizes, dtype=np.int64)
+            sizes = np.array([len(code) // wide for code in codes], dtype=np.int64)
+            blob, n = b"".join(codes), int(sizes.sum())
             counts = np.bincount(np.frombuffer(blob, enc.dtype), minlength=enc.vocab_size)
             used = np.flatnonzero(counts)
-            _write(f"{uri}/part-{part:06d}-{seq:05d}.tok", _head(False, np.array(docs, dtype=np.int64), n, before) + zlib.compress(blob, 1))
-            row = pa.RecordBatch.from_pydict({"part": [part], "seq": [seq], "n_docs": [len(docs)], "n_ids": [int(n.sum())], "ids": [used], "counts": [counts[used]]}, schema=MANIFEST)
-            before, seq, held = before + int(n.sum()), seq + 1, 0
-            for kept in (docs, sizes, codes):
-                kept.clear()
+            body = _head(False, np.array(docs, dtype=np.int64), sizes, before) + blob
+            row = pa.RecordBatch.from_pydict({"part": [part], "seq": [seq], "start": [before], "n_docs": [len(docs)], "n_ids": [n], "body": [body], "ids": [used], "counts": [counts[used]]}, schema=RAW)
+            before, seq, held = before + n, seq + 1, 0
+            docs.clear()
+            codes.clear()
             return row
 
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                code = enc.encode(text.as_py()) + tail
+            for doc, code in zip(batch.column(0).to_pylist(), enc.encode_all(batch.column(1).to_pylist()), strict=True):
                 docs.append(doc)
-                codes.append(code)
-                sizes.append(len(code) // wide)
-                held += sizes[-1]
-                if held >= shard_ids:
+                codes.append(code + tail)
+                held += len(code) + len(tail)
+                if held >= shard_ids * wide:
                     yield shard()
         if docs:
             yield shard()
@@ -153,43 +141,33 @@ def _raw_shards(tokenizer: str, uri: str, end_id: int | None, shard_ids: int):
     return run
 
 
-MANIFEST = pa.schema([("part", pa.int64()), ("seq", pa.int64()), ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("ids", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64()))])
-
-
-def _rank_shards(uri: str, dtype: np.dtype, rank_of: np.ndarray, base: dict[int, int]):
+def _ranked(dtype: np.dtype, rank_of: np.ndarray, base: dict[int, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, seq in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                path = f"{uri}/part-{part:06d}-{seq:05d}.tok"
-                body = _read(path)
-                ranked, start, ids, sizes, at = parse(body)
-                if not ranked:
-                    control, data = pack(rank_of[np.frombuffer(zlib.decompress(body[at:]), dtype)])
-                    start += base[part]
-                    body = _head(True, ids, sizes, start) + control.tobytes() + data.tobytes()
-                    _write(path, body)
-                yield pa.RecordBatch.from_pydict({"path": [path], "start": [start], "n_docs": [len(ids)], "n_ids": [int(sizes.sum())], "n_bytes": [len(body)]})
+            for part, seq, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                body = body.as_buffer()
+                _, start, ids, sizes, at = parse(body)
+                control, data = pack(rank_of[np.frombuffer(body, dtype, offset=at)])
+                start += base[part]
+                body = b"".join([_head(True, ids, sizes, start), control, data])
+                yield pa.RecordBatch.from_pydict({"part": [part], "seq": [seq], "start": [start], "n_docs": [len(ids)], "n_ids": [int(sizes.sum())], "body": [body]})
 
     return run
 
 
-def write_token_files(spark: SparkSession, docs: DataFrame, tokenizer: str, uri: str, *, end_id: int | None = 0, shard_ids: int = 1 << 22) -> DataFrame:
+def write_token_files(spark: SparkSession, docs: DataFrame, tokenizer: str, uri: str, *, end_id: int | None = 0, shard_ids: int = 1 << 21) -> DataFrame:
     """Encodes ``docs`` (doc_id, text) and writes the shards below ``uri``.
 
     ``tokenizer`` is a file of the tokenizers library, ``end_id`` is put after
     each document (None: nothing), ``shard_ids`` is the size from which a new
-    shard begins. Returns a row for each shard: path, start, n_docs, n_ids,
-    n_bytes; the table is in ``uri``/manifest and its shards are written.
+    shard begins. Returns a row for each shard: part, seq, start, n_docs, n_ids.
     """
     # The driver holds counts for each id of the vocabulary and a start for each partition, nothing for each document.
     scratch = common.Scratch(spark, "token-files")
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(uri)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(folder)
     rows = docs.select(common.key_of("doc_id").alias("doc"), F.col("text").cast("string").alias("text"))
-    rows = rows.repartitionByRange("doc").sortWithinPartitions("doc", "text")
-    made = rows.mapInArrow(_raw_shards(tokenizer, uri, end_id, shard_ids), "part long, seq long, n_docs long, n_ids long, ids array<long>, counts array<long>")
-    made = scratch.keep(made, "raw")
+    rows = rows.repartitionByRange("doc", F.left("text", F.lit(64))).sortWithinPartitions("doc", "text")
+    made = rows.mapInArrow(_raw_shards(tokenizer, end_id, shard_ids), SHARDS + ", ids array<long>, counts array<long>")
+    made = scratch.keep(made, "raw", whole_values=True)
     enc = encoder(tokenizer)
     counts = np.zeros(enc.vocab_size, dtype=np.int64)
     for k, n in made.select(F.explode(F.arrays_zip("ids", "counts")).alias("x")).groupBy("x.ids").agg(F.sum("x.counts")).collect():
@@ -197,31 +175,24 @@ def write_token_files(spark: SparkSession, docs: DataFrame, tokenizer: str, uri:
     by_rank = np.lexsort([np.arange(len(counts)), -counts]).astype(np.uint32)
     rank_of = np.empty(len(by_rank), dtype=np.uint32)
     rank_of[by_rank] = np.arange(len(by_rank), dtype=np.uint32)
-    out = io.BytesIO()
-    np.save(out, by_rank)
-    _write(f"{uri}/ranks.npy", out.getvalue())
-    totals = made.groupBy("part").agg(F.sum("n_ids").alias("n"), F.count("*").alias("shards")).orderBy("part").collect()
     base, before = {}, 0
-    for part, n, _ in totals:
+    for part, n in made.groupBy("part").agg(F.sum("n_ids")).orderBy("part").collect():
         base[part] = before
         before += n
-    shards = sum(t[2] for t in totals)
-    tasks = max(1, min(shards, max(spark.sparkContext.defaultParallelism * 4, shards // 64)))
-    done = made.select("part", "seq").repartition(tasks, "part", "seq").mapInArrow(_rank_shards(uri, enc.dtype, rank_of, base), "path string, start long, n_docs long, n_ids long, n_bytes long")
-    done.write.mode("overwrite").parquet(f"{uri}/manifest")
-    _write(f"{uri}/info.json", json.dumps({"end_id": end_id, "n_ids": before, "vocab_size": len(by_rank)}).encode())
-    scratch.drop("raw")
-    return spark.read.schema(done.schema).parquet(f"{uri}/manifest")
+    ranks = spark.createDataFrame(list(enumerate(by_rank.tolist())), "rank long, id long")
+    ranks.coalesce(1).write.mode("overwrite").parquet(f"{uri}/ranks")
+    done = made.select("part", "seq", "body").mapInArrow(_ranked(enc.dtype, rank_of, base), SHARDS)
+    common.write_whole(done, f"{uri}/shards")
+    spark.createDataFrame([(end_id, before, len(by_rank))], "end_id long, n_ids long, vocab_size long").coalesce(1).write.mode("overwrite").parquet(f"{uri}/info")
+    scratch.close()
+    return spark.read.schema(SHARDS).parquet(f"{uri}/shards").drop("body")
 
 
-def _digests(uri: str, with_ids: bool):
+def _digests(by_rank: np.ndarray, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_rank = None
         for batch in batches:
             for body in batch.column(0):
-                if by_rank is None:
-                    by_rank = np.load(io.BytesIO(_read(f"{uri}/ranks.npy")))
-                start, docs, sizes, ids = decode_shard(body.as_py(), by_rank)
+                start, docs, sizes, ids = decode_shard(body.as_buffer(), by_rank)
                 ends = np.cumsum(sizes)
                 blob = memoryview(ids.astype("<u4").tobytes())
                 cuts = list(zip((ends - sizes).tolist(), ends.tolist(), strict=True))
@@ -241,7 +212,11 @@ def _digests(uri: str, with_ids: bool):
 def read_token_files(spark: SparkSession, uri: str, *, with_ids: bool = False) -> DataFrame:
     """A row for each document of the shards below ``uri``: doc_id, start (ids
     of all documents before it), n_tokens, ids_crc32 and, if asked, ids."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.tok").load(uri).select("content")
+    ranks = spark.read.schema("rank long, id long").parquet(f"{uri}/ranks").collect()  # as many as the vocabulary has
+    by_rank = np.zeros(len(ranks), dtype=np.uint32)
+    for rank, k in ranks:
+        by_rank[rank] = k
+    files = spark.read.schema(SHARDS).parquet(f"{uri}/shards").select("body")
     kind = "doc long, start long, n_tokens long, ids_crc32 long" + (", ids array<long>" if with_ids else "")
     rest = ["start", "n_tokens", "ids_crc32"] + ["ids"] * with_ids
-    return files.mapInArrow(_digests(uri, with_ids), kind).select(common.id_of("doc").alias("doc_id"), *rest)
+    return files.mapInArrow(_digests(by_rank, with_ids), kind).select(common.id_of("doc").alias("doc_id"), *rest)

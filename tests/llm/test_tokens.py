@@ -19,14 +19,12 @@ from tokenizers import Tokenizer
 from frameloom.llm import bpe, subwords, token_counts, token_files
 
 JSON, RANKS = P.path("byte_bpe_50k.json"), P.path("byte_bpe_multi_50k.tiktoken")
-PARTS = ["a", "the", " ", "  ", "\n", "\t", "\r", "é", "'s", "'", "ll", "9", "12", "!", "...", " ", "　", "\x1c", "\x85", "漢字", "_", "²", "<|endoftext|>", "\n\n", " \n", "-", "́", "😀", "Don't", "​", "T"]
+PARTS = ["a", "the", " ", "  ", "\n", "\t", "\r", "é", "'s", "'", "ll", "9", "12", "!", "...", " ", "　", "\x1c", "\x85", "漢字", "_", "²", "<|endoftext|>", "\n\n", " \n", "-", "́", "😀", "Don't", "​", "T", "Ⅷ", "٣", "<|"]
 
 
 @pytest.fixture(scope="module")
 def plain():
-    t = Tokenizer.from_file(JSON)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(JSON)
 
 
 @pytest.fixture(scope="module")
@@ -43,8 +41,12 @@ def odd_texts(n):
 def test_word_memo_gives_the_librarys_ids(plain, docs):
     enc = subwords.WordEncoder(JSON, words=50)  # generations turn over all the time
     texts = [r.text for r in docs.limit(60).collect()] + odd_texts(3000)
-    for text, want in zip(texts, plain.encode_batch(texts, add_special_tokens=False), strict=True):
-        assert np.frombuffer(enc.encode(text), enc.dtype).tolist() == want.ids, text
+    assert enc.together > 1
+    for at in (None, 1, 7):
+        enc.together = at or enc.together
+        for text, want in zip(texts, plain.encode_batch(texts, add_special_tokens=False), strict=True):
+            assert np.frombuffer(enc.encode(text), enc.dtype).tolist() == want.ids, text
+    assert enc.encode_all([*texts[:100], None, ""]) == [*map(enc.encode, texts[:100]), b"", b""]
 
 
 @given(st.lists(st.one_of(st.integers(0, 300), st.integers(0, 2**32 - 1)), max_size=70))
@@ -72,9 +74,32 @@ def test_token_files(spark, plain, request, tmp_path, which):
     want = list(expected(plain, [(r.doc_id, r.text) for r in df.collect()]))
     assert Counter((r.doc_id, r.start, r.n_tokens, r.ids_crc32, tuple(r.ids)) for r in got) == Counter((*w[:4], tuple(w[4])) for w in want)
     assert sum(r.n_ids for r in shards.collect()) == sum(w[2] for w in want)
-    # The most frequent id takes one byte.
-    by_rank = np.load(tmp_path / "shards/ranks.npy")
-    assert by_rank[0] == Counter(k for w in want for k in w[4]).most_common(1)[0][0]
+    assert [r.start for r in shards.orderBy("part", "seq").collect()] == sorted(r.start for r in shards.collect())
+    # The most frequent id has the first rank.
+    first = spark.read.parquet(f"{uri}/ranks").filter("rank = 0").first().id
+    assert first == Counter(k for w in want for k in w[4]).most_common(1)[0][0]
+
+
+def test_rows_of_one_id_spread(spark, plain, tmp_path):
+    """Null ids and a repeated one do not go to one task, and keep their order."""
+    rng = random.Random(3)
+    rows = [(None if k % 3 else 7, f"{rng.random()} <|endoftext|> {k}") for k in range(300)]
+    uri = f"file://{tmp_path}/shards"
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        shards = token_files.write_token_files(spark, spark.createDataFrame(rows, "doc_id long, text string"), JSON, uri)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    got = token_files.read_token_files(spark, uri, with_ids=True).orderBy("start").collect()
+    assert [(r.doc_id, r.start, r.n_tokens, r.ids_crc32, r.ids) for r in got] == list(expected(plain, rows))
+    assert shards.select("part").distinct().count() > 2 and 50256 in got[0].ids
+
+
+def test_special_tokens_as_text():
+    enc, library = subwords.WordEncoder(JSON, special_as_text=True), Tokenizer.from_file(JSON)
+    library.encode_special_tokens = True
+    text = "a <|endoftext|>b"
+    assert np.frombuffer(enc.encode(text), enc.dtype).tolist() == library.encode(text).ids and 50256 not in library.encode(text).ids
 
 
 def test_token_files_of_nothing(spark, none, tmp_path):
