@@ -8,9 +8,16 @@ is no hot spot. Hashes in ``min_docs`` documents or more lose their lines in
 all but the largest doc_id that holds them. The losses are gathered by document
 and the text is put together again from the lines that stay, in their places.
 
-Rows that share a doc_id count as one document; a row without doc_id belongs
-to one document of its own kind that comes before all others. Null text counts
-as empty: one empty line, which stays. All rows come back, repeated ones too.
+Only documents that may lose a line meet their losses: a sketch of their ids,
+``common.MARKS`` bits whatever the corpus, tells the others, whose texts stay
+where they are. Where it fills up, more texts move, with the same result.
+
+Rows that share a doc_id count as one document; rows without doc_id are one
+document that comes before all others. Null text counts as empty: one empty
+line, which stays. All rows come back, repeated ones too. Texts are read whole,
+however long; a text that loses very many lines meets them in one row. An empty
+table gives an empty result. Carried columns may have any names, but those of
+results give way to these.
 """
 
 from __future__ import annotations
@@ -53,25 +60,27 @@ def _exploded(min_chars: int):
 
 
 def _assembled(min_chars: int):
+    """(fl_row, fl_text, fl_lost) to fl_row and the results."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n_lines, n_dropped, texts = [], [], []
-            for text, lost in zip(batch.column("fl_text"), batch.column("fl_lost"), strict=True):
+            for text, lost in zip(batch.column(1), batch.column(2), strict=True):
                 text = text.as_py() or ""
                 if not lost.is_valid:
                     n_lines.append(text.count("\n") + 1)
                     n_dropped.append(0)
                     texts.append(text)
                     continue
-                gone = {np.array([x["k1"], x["k2"]], dtype="<i8").tobytes() for x in lost.as_py()}
+                halves = lost.values
+                gone = {*map(bytes, np.stack([halves.field(k).to_numpy() for k in (0, 1)], axis=1).astype("<i8"))}
                 lines, keys = line_keys(text, min_chars)
                 stay = [line for line, k in zip(lines, keys, strict=True) if k not in gone]
                 n_lines.append(len(lines))
                 n_dropped.append(len(lines) - len(stay))
                 texts.append("\n".join(stay))
-            keep = [k for k, name in enumerate(batch.schema.names) if name not in ("fl_text", "fl_lost")]
-            cols = [*(batch.column(k) for k in keep), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64()), pa.array(texts, pa.string())]
-            yield pa.RecordBatch.from_arrays(cols, [*(batch.schema.names[k] for k in keep), "fl_n_lines", "fl_n_dropped", "fl_kept"])
+            cols = [batch.column(0), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64()), pa.array(texts, pa.string())]
+            yield pa.RecordBatch.from_arrays(cols, ["fl_row", "fl_n_lines", "fl_n_dropped", "fl_kept"])
 
     return run
 
@@ -87,9 +96,13 @@ def line_dedup(docs: DataFrame, *, min_chars: int = 20, min_docs: int = 3, carry
     common_lines = held.groupBy("k1", "k2").agg(F.count("*").alias("n"), F.max("doc").alias("last")).filter(F.col("n") >= min_docs)
     # Written first: the join then has plain exchanges on both sides, which adaptive execution splits if a line is hot.
     common_lines = scratch.keep(common_lines.select("k1", "k2", "last"), "common")
-    lost = keys.join(common_lines, ["k1", "k2"]).filter("doc <> last").select(F.col("doc").alias("fl_doc"), F.struct("k1", "k2").alias("k"))
-    lost = lost.groupBy("fl_doc").agg(F.collect_set("k").alias("fl_lost"))
-    whole = docs.select(*carry, common.key_of("doc_id").alias("fl_doc"), F.col("text").cast("string").alias("fl_text"))
-    joined = whole.join(lost, "fl_doc", "left").select(*carry, "fl_text", "fl_lost")
-    kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*carry).schema)
-    return joined.mapInArrow(_assembled(min_chars), f"{kind}, fl_n_lines long, fl_n_dropped long, fl_kept string")
+    lost = keys.join(common_lines, ["k1", "k2"]).filter("doc <> last").select("doc", F.struct("k1", "k2").alias("k"))
+    lost = scratch.keep(lost.groupBy("doc").agg(F.collect_set("k").alias("fl_lost")), "lost")
+    scratch.drop("keys", "common")
+    whole = docs.select(common.carried(carry), F.col("text").cast("string").alias("fl_text"), common.key_of("doc_id").alias("fl_doc"))
+    marked = common.marked(whole, "fl_doc", common.marks(lost, "doc"))
+    nothing = F.lit(None).cast(lost.schema["fl_lost"].dataType).alias("fl_lost")
+    losers = marked.filter("fl_hit").join(lost, F.col("fl_doc") == lost["doc"], "left").select("fl_row", "fl_text", "fl_lost")
+    joined = losers.unionByName(marked.filter("not fl_hit").select("fl_row", "fl_text", nothing))
+    kind = f"fl_row {common.carried_kind(docs, carry)}, fl_n_lines long, fl_n_dropped long, fl_kept string"
+    return joined.mapInArrow(_assembled(min_chars), kind).select(*common.spread(carry, ["fl_n_lines", "fl_n_dropped", "fl_kept"]))
