@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from frameloom.llm import common, embed_dedup, lang_id, minhash, queries
@@ -298,15 +299,52 @@ def test_pipeline(spark, tmp_path):
     assert all(got[d].ids == enc.encoding.encode_ordinary(t) and got[d].exact for d, t in texts if d in kept)
 
 
-def test_pipeline_stages_take_edges(spark, edge, none):
-    for df, n in ((edge, None), (none, 0)):
-        for _, stage in corpus_pipeline.STAGES[:-1]:
-            out = stage(spark, df, "/root/testdata/sf0.001")
-            assert out.columns == df.columns
-            assert n is None or out.count() == n
-            out.count()
-    kept = corpus_pipeline.language(spark, edge, "").collect()
-    assert len(kept) == sum(r.text is not None and any(map(str.isalpha, r.text)) for r in edge.collect()) and lang_id.UNKNOWN not in {r.lang for r in kept}
+@pytest.mark.parametrize("empty", [False, True])
+def test_pipeline_takes_edges(spark, edge, tmp_path, empty):
+    """Each stage, and run, on rows with nulls, ties and repeats, with columns
+    of names that operators use themselves."""
+    df = edge.limit(0) if empty else edge
+    names = ["base", "slots", "fl_doc", "fl_row", "fl_text", "fl_lang", "fl_gone", "fl_kept", "fl_position", "fl_source", "node", "rep"]
+    df = df.withColumns({c: F.concat(F.lit(c), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))) for c in names})
+    said = {(r.doc_id, *(r[c] for c in names)) for r in df.collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, df, "/root/testdata/sf0.001")
+        assert out.columns == df.columns and {f.name: f.dataType for f in out.schema} == {f.name: f.dataType for f in df.schema}
+        rows = out.collect()
+        assert {(r.doc_id, *(r[c] for c in names)) for r in rows} <= said and (name not in ("lines", "mix") or len(rows) == df.count())
+    assert corpus_pipeline.STAGES[-1][1](spark, df, "").count() == df.count()
+    kept = corpus_pipeline.language(spark, df, "").collect()
+    assert len(kept) == sum(r.text is not None and any(map(str.isalpha, r.text)) for r in df.collect()) and lang_id.UNKNOWN not in {r.lang for r in kept}
+    near = corpus_pipeline.near_duplicates(spark, df, "")
+    assert Counter(r.doc_id for r in near.collect()) == Counter(r.doc_id for r in df.collect() if r.doc_id != 5)
+    df.write.parquet(f"file://{tmp_path}/documents.parquet")
+    ids = corpus_pipeline.run(spark, f"file://{tmp_path}").collect()
+    assert all(r.exact for r in ids) and bool(ids) != empty
+
+
+def test_columns_of_queries(spark):
+    """What each query returns on a whole table: the columns of its contract
+    and a row for each input row."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id").collect()
+    want = {
+        "op1_token_files": {"doc_id": "bigint", "start": "bigint", "n_tokens": "bigint", "ids_crc32": "bigint"},
+        "op2_minhash": {"doc_id": "bigint", "copy_of": "bigint", "class_id": "bigint", "kept": "boolean"},
+        "op3_byte_bpe": {"doc_id": "bigint", "n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"},
+        "op5_line_dedup": {"doc_id": "bigint", "n_lines": "bigint", "n_dropped": "bigint", "kept_sha256": "string"},
+        "op6_language_id": {"doc_id": "bigint", "held_out": "boolean", "lang_pred": "string", "score": "double"},
+        "op7_source_mix": {"doc_id": "bigint", "source": "string", "block": "bigint", "slot": "bigint", "position": "bigint"},
+        "op8_quality_ledger": {"doc_id": "bigint", "n_words": "bigint", "word_chars": "bigint", "n_symbols": "bigint", "n_dup_lines": "bigint", "n_repeat_words": "bigint", "base_failed": "boolean", "kept": "boolean"},
+        "op10_pii_surrogates": {"doc_id": "bigint", "text": "string", "n_name": "bigint"},
+    }
+    for name, columns in want.items():
+        got = queries.queries()[name](spark, "/root/testdata/sf0.001")
+        kinds = dict(got.dtypes)
+        assert {c: kinds.get(c) for c in columns} == columns, name
+        rows = got.select(*columns).collect()
+        assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in docs), name
+    got = queries.op9_embedding_dedup(spark, "/root/testdata/sf0.001")
+    assert {"vec_id": "bigint", "n_links": "bigint", "component_id": "bigint", "kept": "boolean"}.items() <= dict(got.dtypes).items()
+    assert got.count() == spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").count()
 
 
 def test_every_query_runs(spark):
