@@ -11,13 +11,16 @@ as Parquet and read again as the next one's documents:
    target weights; none is dropped;
 5. ids: byte-level BPE ids of each text, proven by decoding.
 
-All but the last return the columns they were given.
+All but the last return the columns they were given, which may have any names
+beside those of ``documents``: whole rows travel as one struct. Rows that share
+a doc_id are one document, and so are the rows without one; stages 2 and 3 keep
+or drop all of them. Empty tables pass all stages.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from frameloom.llm import bpe, common, lang_id, line_dedup, minhash, mixing
@@ -37,33 +40,40 @@ def _small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_ROWS))
 
 
+def _columns(docs: DataFrame, **changed: Column) -> list[Column]:
+    """The columns of docs out of fl_row, but for those that are changed."""
+    return [changed[c].alias(c) if c in changed else F.col("fl_row")[c].alias(c) for c in docs.columns]
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     _small_batches(spark)
-    found = lang_id.language_id(docs, carry=docs.columns).filter(F.col("fl_lang") != lang_id.UNKNOWN)
-    return found.withColumn("lang", F.coalesce("lang", "fl_lang")).select(*docs.columns)
+    found = lang_id.language_id(common.whole_rows(docs, "doc_id", "text", "lang"), carry=["fl_row"])
+    return found.filter(F.col("fl_lang") != lang_id.UNKNOWN).select(*_columns(docs, lang=F.coalesce(F.col("fl_row")["lang"], "fl_lang")))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     _small_batches(spark)
-    rest = [c for c in docs.columns if c != "text"]
-    found = line_dedup.line_dedup(docs, carry=rest).withColumnRenamed("fl_kept", "text")
-    if "n_chars" in rest:
-        found = found.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return found.select(*docs.columns)
+    rest = docs.drop("text")
+    rows = docs.select(common.carried(rest.columns), "doc_id", "text")
+    found = line_dedup.line_dedup(rows, carry=["fl_row"])
+    changed = {"text": F.col("fl_kept")}
+    if "n_chars" in rest.columns:
+        changed["n_chars"] = F.char_length("fl_kept").cast(docs.schema["n_chars"].dataType)
+    return found.select(*_columns(docs, **changed))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     _small_batches(spark)
-    # The documents that go are the fewer; their ids alone decide.
-    found = minhash.near_duplicates(docs).groupBy(F.col("doc").alias("fl_doc")).agg(F.bool_or(F.expr("doc = class_id")).alias("stays"))
-    gone = common.Scratch(spark, "gone").keep(found.filter("not stays").select("fl_doc"), "ids")
-    return docs.withColumn("fl_doc", common.key_of("doc_id")).join(gone, "fl_doc", "left_anti").select(*docs.columns)
+    # The documents that go are the fewer; their ids alone decide. Rows of one id are one document, so all stay or go.
+    found = minhash.near_duplicates(docs).filter("doc <> class_id").select(F.col("doc").alias("fl_gone")).distinct()
+    gone = common.Scratch(spark, "gone").keep(found, "ids")
+    return docs.join(gone, common.key_of("doc_id") == gone["fl_gone"], "left_anti")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     _small_batches(spark)
-    found = mixing.mix(docs, WEIGHTS, carry=docs.columns)
-    return found.repartitionByRange("fl_position").sortWithinPartitions("fl_position").select(*docs.columns)
+    found = mixing.mix(common.whole_rows(docs, "doc_id", "text", "source"), WEIGHTS, carry=["fl_row"])
+    return found.repartitionByRange("fl_position").sortWithinPartitions("fl_position").select(*_columns(docs))
 
 
 def ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -79,8 +89,11 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage, from ``documents``."""
-    scratch = common.Scratch(spark, "pipeline")
+    scratch, before = common.Scratch(spark, "pipeline"), None
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = scratch.keep(stage(spark, docs, sf_dir), name)
+        if before:
+            scratch.drop(before)
+        before = name
     return STAGES[-1][1](spark, docs, sf_dir)
