@@ -2,32 +2,120 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..schema import Clip, ProcessingError, binary_violations, require, to_pixels, to_scanlines
-from .neighbours import with_previous
+from ..schema import Clip, ProcessingError, binary_violations, require
+from .neighbours import CHUNK, with_previous
 
 CAP = 255
 
 
 def delta_encode(scanlines: DataFrame, *, key_every: int | None = None) -> DataFrame:
     """Lines XORed with those of the frame before. Key frames stay raw: the
-    first, and with ``key_every`` each frame of that interval."""
+    first, and with ``key_every`` the first of each so many numbers."""
     key = F.col("before").isNull()
     if key_every:
-        key = key | (F.col("frame_no") % key_every == 0)
+        key = key | F.expr(f"frame_no div {key_every} <> before_no div {key_every}")
     xor = F.expr("zip_with(planes, before, (p, q) -> zip_with(p, q, (a, b) -> a ^ b))")
     return with_previous(scanlines).select("clip_id", "frame_no", "y", F.when(key, F.col("planes")).otherwise(xor).alias("planes"))
 
 
-def delta_decode(scanlines: DataFrame, *, key_every: int | None = None) -> DataFrame:
-    """The exact inverse: a running XOR of each pixel from its key frame on.
-    Key frames bound the history that a task sorts."""
-    rows = to_pixels(scanlines)
-    segment = F.expr(f"frame_no div {key_every}") if key_every else F.lit(0)
-    past = Window.partitionBy("clip_id", "y", "c", "x", segment).orderBy("frame_no").rowsBetween(Window.unboundedPreceding, 0)
-    return to_scanlines(rows.select("clip_id", "frame_no", "y", "x", "c", F.bit_xor("v").over(past).alias("v")))
+def _lines(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, pa.ListArray]:
+    """The values of all planes, a copy, where each row's begin (and the last
+    end), and the planes themselves."""
+    planes = batch.column("planes")
+    inner = planes.flatten()
+    flat = inner.flatten()
+    ends = np.concatenate([[0], np.cumsum(inner.value_lengths().to_numpy(zero_copy_only=False))])
+    rows = np.concatenate([[0], np.cumsum(planes.value_lengths().to_numpy(zero_copy_only=False))])
+    return flat.to_numpy(zero_copy_only=False).copy(), ends[rows], planes
+
+
+def _again(planes: pa.ListArray, values: np.ndarray) -> pa.ListArray:
+    """Planes of the same shape with other values."""
+    inner = planes.flatten()
+    sizes = lambda a: pa.array(np.concatenate([[0], np.cumsum(a.value_lengths().to_numpy(zero_copy_only=False))]), pa.int32())
+    return pa.ListArray.from_arrays(sizes(planes), pa.ListArray.from_arrays(sizes(inner), pa.array(values, pa.int32())))
+
+
+def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Running XORs of sorted (clip_id, y, segment, frame_no, planes)."""
+    key, state = None, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        values, at, planes = _lines(batch)
+        keys = list(zip(*(batch.column(c).to_pylist() for c in ("clip_id", "y", "segment")), strict=True))
+        a = 0
+        while a < len(keys):
+            b = a + 1
+            while b < len(keys) and keys[b] == keys[a]:
+                b += 1
+            own = values[at[a] : at[b]].reshape(b - a, -1)  # lines of one place are of one width
+            if keys[a] == key:
+                own[0] ^= state
+            np.bitwise_xor.accumulate(own, axis=0, out=own)
+            key, state, a = keys[a], own[-1].copy(), b
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("clip_id", "frame_no", "y")), _again(planes, values)], ["clip_id", "frame_no", "y", "planes"])
+
+
+def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The XOR of the lines of each (clip_id, y, segment) in a batch."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        values, at, _ = _lines(batch)
+        first: dict[tuple, int] = {}
+        for k, key in enumerate(zip(*(batch.column(c).to_pylist() for c in ("clip_id", "y", "segment")), strict=True)):
+            if (j := first.setdefault(key, k)) != k:
+                values[at[j] : at[j + 1]] ^= values[at[k] : at[k + 1]]
+        part = batch.take(pa.array(sorted(first.values())))
+        kept = np.concatenate([values[at[k] : at[k + 1]] for k in sorted(first.values())])
+        yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("clip_id", "y", "segment")), _again(part.column("planes"), kept)], ["clip_id", "y", "segment", "planes"])
+
+
+def _before(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From sorted sums, what all segments before each one come to."""
+    key, segment, state = None, None, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        values, at, planes = _lines(batch)
+        out, keep = np.zeros_like(values), []
+        for k, (clip, y, s) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("clip_id", "y", "segment")), strict=True)):
+            own = values[at[k] : at[k + 1]]
+            if (clip, y) != key:
+                key, segment, state = (clip, y), None, np.zeros_like(own)
+            if s != segment:
+                out[at[k] : at[k + 1]] = state
+                keep.append(k)
+                segment = s
+            state = state ^ own
+        found = pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("clip_id", "y", "segment")), _again(planes, out)], ["clip_id", "y", "segment", "planes"])
+        yield found.take(pa.array(keep, pa.int64()))
+
+
+def delta_decode(scanlines: DataFrame, *, key_every: int | None = None, chunk: int = CHUNK) -> DataFrame:
+    """The exact inverse: a running XOR of each line from its key frame on.
+
+    A segment from one key frame to the next is a task's unit, and a line of it
+    a row. Without key frames a segment has ``chunk`` numbers, and what all
+    earlier ones come to is carried into it, a row for each segment and line:
+    one long clip spreads over tasks.
+    """
+    kind = "clip_id string, frame_no long, y int, planes array<array<int>>"
+    rows = scanlines.select("clip_id", "y", F.expr(f"frame_no div {key_every or chunk}").alias("segment"), "frame_no", F.col("planes").cast("array<array<int>>").alias("planes"))
+    if not key_every:
+        sums = "clip_id string, y int, segment long, planes array<array<int>>"
+        before = rows.drop("frame_no").mapInArrow(_sums, sums).repartition("clip_id", "y").sortWithinPartitions("clip_id", "y", "segment").mapInArrow(_before, sums)
+        rows = rows.unionByName(before.withColumn("frame_no", F.lit(None).cast("long")))
+    rows = rows.repartition("clip_id", "y", "segment").sortWithinPartitions("clip_id", "y", "segment", F.col("frame_no").asc_nulls_first())
+    return rows.mapInArrow(_running, kind).filter("frame_no is not null")
 
 
 def rle_rows(scanlines: DataFrame, *, cap: int | None = CAP) -> DataFrame:

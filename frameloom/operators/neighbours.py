@@ -10,7 +10,8 @@ CHUNK = 256
 
 
 def with_previous(scanlines: DataFrame, *, chunk: int = CHUNK) -> DataFrame:
-    """Adds ``before``, the planes of the previous frame (null for the first).
+    """Adds ``before``, the planes of the previous frame, and ``before_no``,
+    its number (null for the first).
 
     A window over all frames of a line would have as many partitions as lines.
     Frames are cut into chunks instead, and the last frame that a chunk has of
@@ -22,5 +23,5 @@ def with_previous(scanlines: DataFrame, *, chunk: int = CHUNK) -> DataFrame:
     last = rows.groupBy("clip_id", "y", "chunk").agg(F.max("frame_no").alias("frame_no"), F.max_by("planes", "frame_no").alias("planes"))
     last = last.withColumn("chunk", F.lead("chunk").over(line)).filter("chunk is not null").withColumn("halo", F.lit(True))
     both = Window.partitionBy("clip_id", "y", "chunk").orderBy("frame_no")
-    rows = rows.unionByName(last, allowMissingColumns=True).withColumn("before", F.lag("planes").over(both))
+    rows = rows.unionByName(last, allowMissingColumns=True).withColumns({"before": F.lag("planes").over(both), "before_no": F.lag("frame_no").over(both)})
     return rows.filter("not halo").drop("chunk", "halo")
