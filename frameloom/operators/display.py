@@ -19,12 +19,18 @@ def normalise(clip: Clip) -> DataFrame:
     return clip.scanlines.select("clip_id", "frame_no", "y", F.expr(planes).alias("planes"))
 
 
-def captions(clip: Clip) -> DataFrame:
-    """(frame_no, caption) of each frame."""
-    last = clip.history[-1].component if clip.history else "none"
-    rest = f"Resolution: {clip.width}x{clip.height} | FPS: {clip.fps:.2f} | Color: {clip.color_mode} | Last Process: {last}".replace("%", "%%")
-    text = F.format_string(f"Frame: %d/{clip.frame_count} | Time: %.2fs | {rest}", F.col("frame_no") + 1, F.col("frame_no") / clip.fps)
-    return clip.scanlines.select("frame_no").distinct().select("frame_no", text.alias("caption"))
+def captions(clip: Clip, rates: DataFrame | None = None) -> DataFrame:
+    """(frame_no, caption) of each frame, as ``Clip.info`` has it. ``rates``
+    has the reached rate of frames, (frame_no, rate); other frames have none."""
+    frames = clip.scanlines.filter("y = 0").select("frame_no")  # a line for each frame: no shuffle
+    rate = F.lit("N/A")
+    if rates is not None:
+        frames = frames.join(rates.select("frame_no", "rate"), "frame_no", "left")
+        rate = F.when(F.col("rate").isNotNull(), F.format_string("%.1f", "rate")).otherwise(rate)
+    seconds = F.col("frame_no") / clip.fps if clip.fps > 0 else F.lit(0.0)
+    last = f"\nLast Process: {clip.history[-1].component}" if clip.history else ""
+    head = F.format_string(f"Frame: %d/{clip.frame_count}\nTime: %.2fs\nResolution: {clip.width}x{clip.height}\nVideo FPS: {clip.fps:.1f}\nDisplay FPS: ", F.col("frame_no") + 1, seconds)
+    return frames.select("frame_no", F.concat(head, rate, F.lit(f"\nColor: {clip.color_mode}{last}")).alias("caption"))
 
 
 def reached_rate(shown: DataFrame) -> DataFrame:

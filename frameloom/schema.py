@@ -116,10 +116,25 @@ class Clip:
         safe = max(1, min(self.frame_count, int(batch_mb * 2**20 / need["frame_size_bytes"])))
         return min(wanted, safe) if wanted else safe
 
-    def info(self, frame_no: int) -> str:
-        """The caption of a frame."""
-        last = self.history[-1].component if self.history else "none"
-        return f"Frame: {frame_no + 1}/{self.frame_count} | Time: {frame_no / self.fps:.2f}s | Resolution: {self.width}x{self.height} | FPS: {self.fps:.2f} | Color: {self.color_mode} | Last Process: {last}"
+    @property
+    def duration(self) -> float:
+        """Seconds, by frames and rate; 0 without a rate."""
+        return self.frame_count / self.fps if self.fps > 0 else 0.0
+
+    def info(self, frame_no: int, shown_fps: float | None = None) -> str:
+        """The caption of a frame, in lines; ``shown_fps`` is the rate that a
+        player reached."""
+        facts = {
+            "Frame": f"{frame_no + 1}/{self.frame_count}",
+            "Time": f"{frame_no / self.fps if self.fps > 0 else 0:.2f}s",
+            "Resolution": f"{self.width}x{self.height}",
+            "Video FPS": f"{self.fps:.1f}",
+            "Display FPS": "N/A" if shown_fps is None else f"{shown_fps:.1f}",
+            "Color": self.color_mode,
+        }
+        if self.history:
+            facts["Last Process"] = self.history[-1].component
+        return "\n".join(f"{name}: {value}" for name, value in facts.items())
 
 
 def require(clip: Clip, component: str, modes: set[str] | None = None) -> None:
