@@ -6,6 +6,8 @@ from __future__ import annotations
 import math
 
 import numpy as np
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 
 def kernel(x: float, a: int = 4) -> float:
@@ -37,16 +39,24 @@ def weights(size: int, target: int, a: int = 4) -> list[list[tuple[int, float]]]
     return out
 
 
-def literal(table: list[list[tuple[int, float]]]) -> str:
-    """The table as a SQL array; it has a few numbers for each output sample."""
-    tap = lambda i, w: f"struct({i} as i, cast({w!r}D as float) as w)"
-    return "array(" + ", ".join("array(" + ", ".join(tap(i, w) for i, w in taps) + ")" for taps in table) + ")"
+def taps(size: int, target: int, a: int = 4) -> tuple[Column, Column]:
+    """The table as two array literals, 2 * a places and weights for each
+    output sample one after the other; those outside the image weigh 0."""
+    table = weights(size, target, a)
+    at, w = np.zeros((target, 2 * a), dtype=np.int32), np.zeros((target, 2 * a), dtype=np.float32)
+    for o, own in enumerate(table):
+        for k, (i, x) in enumerate(own):
+            at[o, k], w[o, k] = i, x
+    return F.lit(at.reshape(-1)), F.lit(w.reshape(-1))
 
 
-def convolve(row: str, table: str) -> str:
-    """SQL for weighted sums over an array: float products, summed in double
-    precision in tap order, rounded to float."""
-    return f"transform({table}, taps -> cast(aggregate(taps, 0D, (s, t) -> s + cast(cast({row}[t.i] as float) * t.w as double)) as float))"
+def convolve(value: str, target: int, a: int = 4) -> str:
+    """SQL for ``target`` weighted sums, given the columns ``at`` and ``w`` and
+    the value at place ``{i}``: float products, summed in double precision in
+    the order of the taps, rounded to float."""
+    n = 2 * a
+    source = value.format(i=f"at[o * {n} + k]")
+    return f"transform(sequence(0, {target - 1}), o -> cast(aggregate(sequence(0, {n - 1}), 0D, (s, k) -> s + cast(cast({source} as float) * w[o * {n} + k] as double)) as float))"
 
 
 def resize_array(image: np.ndarray, width: int, height: int) -> np.ndarray:

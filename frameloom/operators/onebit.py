@@ -46,12 +46,23 @@ def ordered_dither(scanlines: DataFrame, t: float, pattern: str = "bayer4x4") ->
     return scanlines.select("clip_id", "frame_no", "y", _planes(f"transform(planes, p -> transform(p, (v, x) -> {pixel.dithered('v', 'x', 'y', t, pattern)}))"))
 
 
+#: The modulus of the noise, a prime: squares of what is below it fit in 64 bits.
+NOISE_PRIME = 2**31 - 1
+
+
 def noise_dither(scanlines: DataFrame, t: float, seed: int = 0, spread: int = 16) -> DataFrame:
     """Threshold after uniform noise that a hash of place and seed gives, so
-    that a rerun gives the same bits."""
-    noise = f"(pmod(xxhash64({seed}, clip_id, frame_no, y, x), 1000003L) / 1000003D - 0.5D) * {2 * spread}"
-    value = f"least(255D, greatest(0D, v + {noise}))"
-    return scanlines.select("clip_id", "frame_no", "y", _planes(f"transform(planes, p -> transform(p, (v, x) -> {pixel.over(value, float(t))}))"))
+    that a rerun gives the same bits: an MD5 for each line, then squares modulo
+    a prime for each pixel."""
+    line = f"cast(conv(substring(md5(concat_ws(':', {seed}, clip_id, frame_no, y)), 1, 7), 16, 10) as long)"
+    step = lambda h, add: f"(({h}) * ({h}) + {add}) % {NOISE_PRIME}L"
+    # As a generator's output the line's hash is a column, computed once.
+    lines = scanlines.select("*", F.explode(F.array(F.expr(line))).alias("l"))
+    lines = lines.withColumn("h", F.expr(f"transform(sequence(0, size(planes[0]) - 1), x -> (l * 8L + x * 40503L) % {NOISE_PRIME}L)"))
+    for add in (12345, 777):
+        lines = lines.withColumn("h", F.expr(f"transform(h, q -> {step('q', add)})"))
+    value = f"least(255D, greatest(0D, v + (q / {NOISE_PRIME}D - 0.5D) * {2 * spread}))"
+    return lines.select("clip_id", "frame_no", "y", _planes(f"transform(planes, p -> zip_with(p, h, (v, q) -> {pixel.over(value, float(t))}))"))
 
 
 def diffuse(frames: np.ndarray, t: float) -> np.ndarray:

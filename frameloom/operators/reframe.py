@@ -46,10 +46,21 @@ def frame_difference(scanlines: DataFrame) -> DataFrame:
     return rows.groupBy("clip_id", "frame_no").agg((F.sum("d") / F.sum("n")).alias("difference"))
 
 
+def frame_metrics(scanlines: DataFrame) -> DataFrame:
+    """(clip_id, frame_no, variance, difference), both in one pass."""
+    rows = with_previous(scanlines).select("clip_id", "frame_no", F.flatten("planes").alias("p"), F.flatten("before").alias("b"))
+    total = lambda x, y: F.aggregate(x, F.lit(0).cast("long"), lambda s, v: s + y(v))
+    change = F.when(F.col("b").isNull(), F.lit(0).cast("long")).otherwise(total(F.zip_with("p", "b", lambda x, y: F.abs(x - y)), lambda v: v))
+    rows = rows.select("clip_id", "frame_no", F.size("p").cast("long").alias("n"), total(F.col("p"), lambda v: v).alias("s"), total(F.col("p"), lambda v: v.cast("long") * v).alias("q"), change.alias("d"))
+    sums = rows.groupBy("clip_id", "frame_no").agg(*(F.sum(c).alias(c) for c in "nsqd"))
+    variance = (F.col("n") * F.col("q") - F.col("s") * F.col("s")) / (F.col("n") * F.col("n"))
+    return sums.select("clip_id", "frame_no", variance.alias("variance"), (F.col("d") / F.col("n")).alias("difference"))
+
+
 def frame_scores(scanlines: DataFrame, variance_weight: float = 0.7, difference_weight: float = 0.3) -> DataFrame:
     """(clip_id, frame_no, variance, difference, score): both metrics over
     their clip's maximum, weighted. The maxima are one row a clip."""
-    both = frame_variance(scanlines).join(frame_difference(scanlines), ["clip_id", "frame_no"])
+    both = frame_metrics(scanlines)
     most = both.groupBy("clip_id").agg(F.max("variance").alias("mv"), F.max("difference").alias("md"))
     over = lambda x, m: F.col(x) / F.when(F.col(m) > 0, F.col(m)).otherwise(1.0)
     score = variance_weight * over("variance", "mv") + difference_weight * over("difference", "md")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,20 +15,24 @@ from ..schema import Clip, ProcessingError, require
 
 def horizontal(scanlines: DataFrame, width: int, target: int) -> DataFrame:
     """Lines of ``target`` floats: no shuffle, a line is the unit."""
-    table = lanczos.literal(lanczos.weights(width, target))
-    return scanlines.select("clip_id", "frame_no", "y", F.expr(f"transform(planes, p -> {lanczos.convolve('p', table)})").alias("planes"))
+    at, w = lanczos.taps(width, target)
+    return scanlines.withColumns({"at": at, "w": w}).select("clip_id", "frame_no", "y", F.expr(f"transform(planes, p -> {lanczos.convolve('p[{i}]', target)})").alias("planes"))
 
 
 def vertical(scanlines: DataFrame, height: int, target: int) -> DataFrame:
     """Frames of ``target`` lines of floats. A frame's lines are gathered
-    once, after the horizontal pass has changed their width."""
-    table = lanczos.literal(lanczos.weights(height, target))
+    once, after the horizontal pass has changed their width, and only finished
+    lines are exploded."""
+    at, w = lanczos.taps(height, target)
     frames = scanlines.groupBy("clip_id", "frame_no").agg(F.sort_array(F.collect_list(F.struct("y", "planes"))).alias("f"))
-    frames = frames.select("clip_id", "frame_no", F.expr("transform(f, q -> q.planes)").alias("f"))
-    lines = frames.select("clip_id", "frame_no", "f", F.posexplode(F.expr(table)).alias("y", "taps"))
-    value = "cast(aggregate(taps, 0D, (s, t) -> s + cast(cast(f[t.i][c][x] as float) * t.w as double)) as float)"
-    planes = f"transform(sequence(0, size(f[0]) - 1), c -> transform(sequence(0, size(f[0][0]) - 1), x -> {value}))"
-    return lines.select("clip_id", "frame_no", "y", F.expr(planes).alias("planes"))
+    # As a generator's output the frame is a column: lambdas would compute an expression again for each element.
+    frames = frames.select("clip_id", "frame_no", F.explode(F.array("f")).alias("f")).withColumns({"at": at, "w": w})
+    sums = lanczos.convolve("f[{i}].planes[c][x]", target)
+    # For each channel and place the sums of all lines, turned into lines.
+    down = f"transform(sequence(0, size(f[0].planes) - 1), c -> transform(sequence(0, size(f[0].planes[0]) - 1), x -> {sums}))"
+    frames = frames.select("clip_id", "frame_no", F.explode(F.array(F.expr(down))).alias("d"))
+    lines = f"transform(sequence(0, {target - 1}), o -> transform(d, plane -> transform(plane, column -> column[o])))"
+    return frames.select("clip_id", "frame_no", F.posexplode(F.expr(lines)).alias("y", "planes"))
 
 
 def restore(scanlines: DataFrame, dtype: str = "uint8") -> DataFrame:
@@ -69,11 +73,15 @@ def lanczos_resize_arrow(scanlines: DataFrame, size: tuple[int, int], target: tu
     return frames.mapInArrow(_resized(size, target, dtype), f"clip_id string, frame_no long, y int, planes array<array<{value}>>")
 
 
-def resize(clip: Clip, target: tuple[int, int], *, kernel_size: int = 4, arrow: bool | None = None) -> Clip:
+#: Scanlines, (width, height), the target and the type of values, to scanlines.
+Resizer = Callable[[DataFrame, tuple[int, int], tuple[int, int], str], DataFrame]
+
+
+def resize(clip: Clip, target: tuple[int, int], *, kernel_size: int = 4, arrow: bool | None = None, using: Resizer | None = None) -> Clip:
     """A clip of the target (width, height); the same clip if it has it.
 
     ``arrow`` picks NumPy over native expressions; by default it does so from
-    a quarter of a megapixel on.
+    a quarter of a megapixel on. ``using`` resizes by another function.
     """
     width, height = target
     if kernel_size < 2:
@@ -83,8 +91,8 @@ def resize(clip: Clip, target: tuple[int, int], *, kernel_size: int = 4, arrow:
     if (width, height) == clip.resolution:
         return clip
     require(clip, "resize", {"RGB", "GRAY"})
-    if kernel_size != 4:
+    if kernel_size != 4 and not using:
         raise NotImplementedError("only 4 lobes are supported")
     arrow = clip.width * clip.height >= 1 << 18 if arrow is None else arrow
-    lines = (lanczos_resize_arrow if arrow else lanczos_resize)(clip.scanlines, clip.resolution, (width, height), clip.dtype)
+    lines = (using or (lanczos_resize_arrow if arrow else lanczos_resize))(clip.scanlines, clip.resolution, (width, height), clip.dtype)
     return clip.but("resize", {"target_resolution": f"{width}x{height}", "lanczos_kernel": kernel_size}, scanlines=lines, width=width, height=height)
