@@ -15,7 +15,7 @@ from .functions import lanczos, pixel
 from .operators import delta, display, modes, onebit, reframe, resize
 from .plans import chain
 from .schema import binary_violations, to_pixels
-from .sources import tables
+from .sources import frames, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 KEYS = ("frame_no", "y", "x")
@@ -119,8 +119,44 @@ def _reached(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _gathered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    every = tables.gray8(spark, sf_dir).filter("y = 0 and frame_no % 7 = 3").select(F.expr("frame_no div 7").alias("out_no"), "frame_no")
-    return _longs(to_pixels(display.gather(tables.gray8(spark, sf_dir), every)), "frame_no", "y", "x", "v")
+    """All frames in reversed order, each twice."""
+    clip = tables.clip(spark, sf_dir, "gray8")
+    last = clip.frame_count - 1
+    picked = clip.scanlines.filter("y = 0").select(F.explode(F.expr(f"array(2L * ({last}L - frame_no), 2L * ({last}L - frame_no) + 1)")).alias("out_no"), "frame_no")
+    rows = display.gather(clip.scanlines, picked).select("clip_id", F.col("out_no").alias("frame_no"), "y", "planes")
+    return _pixels(rows)
+
+
+def _gappy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One-bit frames whose numbers have gaps of every length up to 9 and
+    beyond chunks and key frames: each frame at its number's square."""
+    bits = _bits(tables.gray8(spark, sf_dir))
+    return bits.withColumn("frame_no", F.expr("frame_no * frame_no div 7 + frame_no"))
+
+
+def _gaps_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coded and decoded, without key frames and with them."""
+    lines = _gappy(spark, sf_dir)
+    plain = delta.delta_decode(delta.delta_encode(lines))
+    keyed = delta.delta_decode(delta.delta_encode(lines, key_every=40), key_every=40)
+    both = plain.join(keyed.withColumnRenamed("planes", "keyed"), ["clip_id", "frame_no", "y"])
+    return _pixels(both.select("clip_id", "frame_no", "y", F.expr("if(planes = keyed, planes, null)").alias("planes")))
+
+
+def _written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coded with key frames, written, read and decoded."""
+    path = frames.scratch_folder(spark)
+    frames.write_clip(chain.Chain().then(chain.one_bit(128)).then(chain.delta_coding(50)).run(tables.clip(spark, sf_dir, "gray8")), path)
+    return _pixels(delta.delta_decode_clip(frames.read_clip(spark, path)).scanlines)
+
+
+def _clipped(dtype: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        v = F.expr(pixel.clamp("(value - 40D) * 900.7D", dtype))
+        v = v.cast("long") if dtype.startswith("u") else F.round(v, 6)
+        return spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("event_id").cast("long").alias("event_id"), v.alias("v"))
+
+    return run
 
 
 def _summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -194,6 +230,12 @@ def queries() -> dict[str, Query]:
         "frame_captions": lambda spark, d: display.captions(tables.clip(spark, d, "gray8")),
         "reached_rate": _reached,
         "frame_gather": _gathered,
+        "delta_gaps": lambda spark, d: _pixels(delta.delta_encode(_gappy(spark, d), key_every=40)),
+        "delta_gaps_decoded": _gaps_decoded,
+        "delta_written_roundtrip": _written,
+        "delta_decode_no_keys": _on(g, _bits, delta.delta_encode, delta.delta_decode),
+        "dtype_clip_u16": _clipped("uint16"),
+        "dtype_float": _clipped("float64"),
         "processing_summary": _summary,
         "pipeline_full": _pipeline,
         "scanline_mode": _on(g, _bits, modes.scanline_mode),
@@ -206,13 +248,14 @@ _VIEWS = {
     "gray8": """gray8 AS (SELECT vec_id AS frame_no, (p - 1) // 8 AS y, (p - 1) % 8 AS x,
         CAST(least(255e0, greatest(0e0, floor((CAST(embedding[p] AS DOUBLE) + 1e0) * 127.5e0))) AS BIGINT) AS v
         FROM embeddings, generate_series(1, 64) AS g(p))""",
-    "rgb8": """rgb8 AS (SELECT event_id // 64 AS frame_no, event_id % 64 // 8 AS y, event_id % 8 AS x,
-        CAST(floor(value) AS BIGINT) % 256 AS r, CAST(floor(value * 7e0) AS BIGINT) % 256 AS g, user_id % 256 AS b
-        FROM events WHERE event_id < (SELECT count(*) FROM events) // 64 * 64)""",
-    "wide": """wide AS (SELECT o_orderkey // 1024 AS frame_no, 0 AS y, o_orderkey % 1024 AS x, CAST(floor(o_totalprice) AS BIGINT) % 256 AS v
-        FROM orders WHERE o_orderkey < (SELECT count(*) FROM orders) // 1024 * 1024)""",
+    "rgb8": """rgb8 AS (SELECT f AS frame_no, p // 8 AS y, p % 8 AS x,
+        coalesce(CAST(floor(value) AS BIGINT) % 256, 0) AS r, coalesce(CAST(floor(value * 7e0) AS BIGINT) % 256, 0) AS g, coalesce(user_id % 256, 0) AS b
+        FROM (SELECT DISTINCT event_id // 64 AS f FROM events) CROSS JOIN generate_series(0, 63) AS s(p) LEFT JOIN events ON event_id = f * 64 + p)""",
+    "wide": """wide AS (SELECT f AS frame_no, 0 AS y, p AS x, coalesce(CAST(floor(o_totalprice) AS BIGINT) % 256, 0) AS v
+        FROM (SELECT DISTINCT o_orderkey // 1024 AS f FROM orders) CROSS JOIN generate_series(0, 1023) AS s(p) LEFT JOIN orders ON o_orderkey = f * 1024 + p)""",
     "luma": """luma AS (SELECT frame_no, y, x, CAST(floor(least(255e0, greatest(0e0, 0.299e0 * r + 0.587e0 * g + 0.114e0 * b))) AS BIGINT) AS v FROM rgb8)""",
     "bits": "bits AS (SELECT frame_no, y, x, CASE WHEN v > 128 THEN 1 ELSE 0 END AS v FROM gray8)",
+    "gappy": "gappy AS (SELECT frame_no * frame_no // 7 + frame_no AS frame_no, y, x, v FROM bits)",
     "wbits": "wbits AS (SELECT frame_no, y, x, CASE WHEN v > 0 THEN 1 ELSE 0 END AS v FROM wide)",
 }
 
@@ -267,8 +310,29 @@ def _intelligent_sql(fps: float) -> str:
 
 
 def _delta_sql(source: str, every: int | None = None) -> str:
-    key = f" OR frame_no % {every} = 0" if every else ""
-    return f"coded AS (SELECT frame_no, y, x, CASE WHEN before IS NULL{key} THEN v ELSE xor(v, before) END AS v FROM (SELECT *, lag(v) OVER (PARTITION BY y, x ORDER BY frame_no) AS before FROM {source}))"
+    key = f" OR frame_no // {every} <> before_no // {every}" if every else ""
+    return f"coded AS (SELECT frame_no, y, x, CASE WHEN before IS NULL{key} THEN v ELSE xor(v, before) END AS v FROM (SELECT *, lag(v) OVER w AS before, lag(frame_no) OVER w AS before_no FROM {source} WINDOW w AS (PARTITION BY y, x ORDER BY frame_no)))"
+
+
+def _noise_sql(t: int, seed: int = 0, spread: int = 16) -> str:
+    p = onebit.NOISE_PRIME
+    line = f"CAST('0x' || substr(md5(concat_ws(':', {seed}, 'gray8', frame_no, y)), 1, 7) AS BIGINT)"
+    h = f"(SELECT frame_no, y, x, v, ({line} * 8 + x * 40503) % {p} AS h FROM gray8)"
+    for add in (12345, 777):
+        h = f"(SELECT frame_no, y, x, v, (h * h + {add}) % {p} AS h FROM {h})"
+    return _all(h, f"CASE WHEN least(255e0, greatest(0e0, v + (h / {p}e0 - 0.5e0) * {2 * spread})) > {t}e0 THEN 1 ELSE 0 END")
+
+
+def _diffusion_sql(t: int) -> str:
+    """Error diffusion of 8 x 8 frames, a pixel at each step."""
+    shares = [("x < 7", 1, 7), ("x > 0", 7, 3), ("true", 8, 5), ("x < 7", 9, 1)]  # where, how far on, sixteenths
+    cells = " ".join(f"WHEN i = k + 1 + {far} AND {where} THEN CAST(CAST(q AS DOUBLE) + error * {n}e0 / 16e0 AS FLOAT)" for where, far, n in shares)
+    return f"""WITH RECURSIVE {_VIEWS['gray8']}, steps(frame_no, k, work, bits) AS (
+        SELECT frame_no, CAST(0 AS BIGINT), list(CAST(v AS FLOAT) ORDER BY y, x), CAST([] AS BIGINT[]) FROM gray8 GROUP BY frame_no
+        UNION ALL SELECT frame_no, k + 1, [CASE {cells} ELSE q END for q, i in work], list_append(bits, bit) FROM (
+            SELECT *, old - CASE WHEN bit = 1 THEN 255e0 ELSE 0e0 END AS error FROM (
+                SELECT *, k % 8 AS x, CAST(work[k + 1] AS DOUBLE) AS old, CASE WHEN CAST(work[k + 1] AS DOUBLE) > {t}e0 THEN CAST(1 AS BIGINT) ELSE CAST(0 AS BIGINT) END AS bit FROM steps WHERE k < 64)))
+        {_all("(SELECT frame_no, (p - 1) // 8 AS y, (p - 1) % 8 AS x, bits[p] AS v FROM (SELECT frame_no, bits, unnest(generate_series(1, 64)) AS p FROM steps WHERE k = 64))")}"""
 
 
 def _runs_sql(source: str, line: str, at: str, cap: int | None) -> str:
@@ -285,12 +349,13 @@ def _runs_sql(source: str, line: str, at: str, cap: int | None) -> str:
 
 def oracle_sql() -> dict[str, str]:
     longs = lambda *names: ", ".join(f"CAST({n} AS BIGINT) AS {n}" for n in names)
-    memory = lambda name, size, each, table: f"SELECT '{name}' AS clip_id, CAST({size} AS BIGINT) AS frame_size_bytes, CAST({size} * n AS BIGINT) AS total_bytes, round({size} * n / 1048576e0, 6) AS total_mb, CAST(n AS BIGINT) AS frame_count FROM (SELECT count(*) // {each} AS n FROM {table})"
+    keys = {"embeddings": "vec_id", "events": "event_id", "orders": "o_orderkey"}
+    memory = lambda name, size, each, table: f"SELECT '{name}' AS clip_id, CAST({size} AS BIGINT) AS frame_size_bytes, CAST({size} * n AS BIGINT) AS total_bytes, round({size} * n / 1048576e0, 6) AS total_mb, CAST(n AS BIGINT) AS frame_count FROM (SELECT max({keys[table]}) // {each} + 1 AS n FROM {table})"
     full = [_weights_sql("wx", 8, 5), _weights_sql("wy", 8, 6), "planes AS (SELECT frame_no, y, x, unnest([0, 1, 2]) AS c, unnest([r, g, b]) AS v FROM rgb8)", _across("h", "planes", "wx", "x", ", c"), _across("vv", "h", "wy", "y", ", c"), f"u8 AS (SELECT frame_no, y, x, c, {_U8} AS v FROM vv)"]
     cells = ", ".join(f"({y}, {x}, {v / 16!r}e0)" for y, row in enumerate(pixel.BAYER["bayer4x4"]) for x, v in enumerate(row))
     full += [
         "lum AS (SELECT frame_no, y, x, floor(least(255e0, greatest(0e0, 0.299e0 * max(v) FILTER (c = 0) + 0.587e0 * max(v) FILTER (c = 1) + 0.114e0 * max(v) FILTER (c = 2)))) AS v FROM u8 GROUP BY frame_no, y, x)",
-        "slots AS (SELECT w, least(CAST(floor(w * (30e0 / 12e0)) AS BIGINT), n - 1) AS a FROM (SELECT unnest(generate_series(0, CAST(floor(n / (30e0 / 12e0)) AS BIGINT) - 1)) AS w, n FROM (SELECT count(*) // 64 AS n FROM events)))",
+        "slots AS (SELECT w, least(CAST(floor(w * (30e0 / 12e0)) AS BIGINT), n - 1) AS a FROM (SELECT unnest(generate_series(0, CAST(floor(n / (30e0 / 12e0)) AS BIGINT) - 1)) AS w, n FROM (SELECT max(event_id) // 64 + 1 AS n FROM events)))",
         f"b1 AS (SELECT w AS frame_no, y, x, CASE WHEN v > 60e0 + (m - 0.5e0) * 64e0 THEN 1 ELSE 0 END AS v FROM lum JOIN slots ON a = frame_no JOIN (VALUES {cells}) AS q(my, mx, m) ON y % 4 = my AND x % 4 = mx)",
         _delta_sql("b1"),
     ]
@@ -332,11 +397,19 @@ def oracle_sql() -> dict[str, str]:
         "rle_row_sizes": _sql("SELECT CAST(max(m) AS BIGINT) AS max_row_size FROM (SELECT 2 * count(*) AS m FROM coded GROUP BY frame_no, y)", "wide", "wbits", _runs_sql("wbits", "frame_no, y", "x", 255)),
         "max_frames_limit": _sql(_all("gray8 WHERE frame_no < 10"), "gray8"),
         "memory_estimate": " UNION ALL ".join([memory("gray8", 64, 1, "embeddings"), memory("rgb8", 192, 64, "events"), memory("wide", 1024, 1024, "orders")]),
-        "batch_sizes": " UNION ALL ".join(f"SELECT '{name}' AS clip_id, n AS whole, least(50, greatest(1, least(n, CAST(floor(0.01e0 * 1048576e0 / {size}) AS BIGINT)))) AS batch FROM (SELECT count(*) // {each} AS n FROM {table})" for name, size, each, table in (("gray8", 64, 1, "embeddings"), ("rgb8", 192, 64, "events"), ("wide", 1024, 1024, "orders"))),
+        "batch_sizes": " UNION ALL ".join(f"SELECT '{name}' AS clip_id, n AS whole, least(50, greatest(1, least(n, CAST(floor(0.01e0 * 1048576e0 / {size}) AS BIGINT)))) AS batch FROM (SELECT max({keys[table]}) // {each} + 1 AS n FROM {table})" for name, size, each, table in (("gray8", 64, 1, "embeddings"), ("rgb8", 192, 64, "events"), ("wide", 1024, 1024, "orders"))),
         "display_values": _sql("SELECT frame_no, y, x, CAST(c AS BIGINT) AS c, round(v / 255e0, 6) AS v FROM planes", "rgb8", "planes AS (SELECT frame_no, y, x, unnest([0, 1, 2]) AS c, unnest([r, g, b]) AS v FROM rgb8)"),
-        "frame_captions": "SELECT vec_id AS frame_no, printf('Frame: %d/%d | Time: %.2fs | Resolution: 8x8 | FPS: 30.00 | Color: GRAY | Last Process: none', vec_id + 1, (SELECT count(*) FROM embeddings), vec_id / 30e0) AS caption FROM embeddings",
+        "frame_captions": "SELECT vec_id AS frame_no, printf('Frame: %d/%d' || chr(10) || 'Time: %.2fs' || chr(10) || 'Resolution: 8x8' || chr(10) || 'Video FPS: 30.0' || chr(10) || 'Display FPS: N/A' || chr(10) || 'Color: GRAY', vec_id + 1, (SELECT count(*) FROM embeddings), vec_id / 30e0) AS caption FROM embeddings",
         "reached_rate": "SELECT event_id AS frame_no, round(CASE WHEN total > 0 THEN n * 1e6 / CAST(total AS DOUBLE) END, 6) AS rate FROM (SELECT event_id, count(gap) OVER w AS n, sum(gap) OVER w AS total FROM (SELECT event_id, user_id, ts, epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS gap FROM events) WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 29 PRECEDING AND CURRENT ROW))",
-        "frame_gather": _sql(_all("gray8 WHERE frame_no % 7 = 3"), "gray8"),
+        "frame_gather": _sql(_all("(SELECT 2 * ((SELECT max(vec_id) FROM embeddings) - frame_no) + again AS frame_no, y, x, v FROM gray8, generate_series(0, 1) AS s(again))"), "gray8"),
+        "delta_gaps": _sql(_all("coded"), "gray8", "bits", "gappy", _delta_sql("gappy", 40)),
+        "delta_gaps_decoded": _sql(_all("gappy"), "gray8", "bits", "gappy"),
+        "delta_written_roundtrip": _sql(_all("bits"), "gray8", "bits"),
+        "delta_decode_no_keys": _sql(_all("bits"), "gray8", "bits"),
+        "dtype_clip_u16": "SELECT CAST(event_id AS BIGINT) AS event_id, CAST(floor(least(65535e0, greatest(0e0, (value - 40e0) * 900.7e0))) AS BIGINT) AS v FROM events",
+        "dtype_float": "SELECT CAST(event_id AS BIGINT) AS event_id, round((value - 40e0) * 900.7e0, 6) AS v FROM events",
+        "noise_dither": _sql(_noise_sql(128), "gray8"),
+        "floyd_steinberg": _diffusion_sql(128),
         "processing_summary": "SELECT CAST(k AS BIGINT) AS step, c AS component FROM (VALUES (1, 'reframe'), (2, 'resize'), (3, 'to_1bit')) AS s(k, c)",
         "pipeline_full": _sql(_all("coded"), "rgb8", *full),
         "scanline_mode": _sql(_all("bits", "CASE WHEN y % 2 = 0 THEN v ELSE 0 END"), "gray8", "bits"),
