@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import logging
+import time
+from collections import deque
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -28,7 +30,8 @@ class Stage:
 
 
 def resizing(width: int, height: int, **how) -> Stage:
-    return Stage("resize", lambda clip: resize.resize(clip, (width, height), **how), per_frame=True)
+    # What another function does with frames is not known.
+    return Stage("resize", lambda clip: resize.resize(clip, (width, height), **how), per_frame=how.get("using") is None)
 
 
 def reframing(fps: float, technique: str = "intelligent", **how) -> Stage:
@@ -55,6 +58,37 @@ def interlacing() -> Stage:
     return Stage("interlaced", lambda clip: clip.but("interlaced", {}, scanlines=modes.interlaced_mode(clip.scanlines)))
 
 
+class Progress:
+    """Steps done of a total, the seconds since it began and what the last
+    ``recent`` steps took; ``report`` gets (done, total, seconds) at each."""
+
+    def __init__(self, total: int, report: Callable[[int, int, float], None] | None = None, recent: int = 10):
+        self.total, self.report, self.done = total, report, 0
+        self.times: deque[float] = deque(maxlen=recent)
+        self.began = self.last = time.monotonic()
+
+    @property
+    def seconds(self) -> float:
+        return time.monotonic() - self.began
+
+    @property
+    def recent(self) -> float | None:
+        """The mean of what the last steps took."""
+        return sum(self.times) / len(self.times) if self.times else None
+
+    def step(self, n: int = 1) -> None:
+        now = time.monotonic()
+        self.times.append(now - self.last)
+        self.last, self.done = now, min(self.total, self.done + n)
+        log.info("%d of %d steps, %.1f s", self.done, self.total, self.seconds)
+        if self.report:
+            self.report(self.done, self.total, self.seconds)
+
+    def finish(self) -> None:
+        if self.done < self.total:
+            self.step(self.total - self.done)
+
+
 @dataclass(frozen=True)
 class Chain:
     """Stages in order; ``then`` gives a longer chain."""
@@ -75,8 +109,12 @@ class Chain:
             out.insert(at, stage)
         return Chain(tuple(out))
 
-    def run(self, clip: Clip) -> Clip:
-        for stage in self.optimized().stages:
+    def run(self, clip: Clip, report: Callable[[int, int, float], None] | None = None) -> Clip:
+        """The clip after all stages. They only build a plan, but for the
+        checks and statistics that were asked for; ``report`` sees each."""
+        stages = self.optimized().stages
+        progress = Progress(len(stages), report)
+        for stage in stages:
             log.info("%s: %d frames of %dx%d", stage.name, clip.frame_count, clip.width, clip.height)
             try:
                 clip = stage.run(clip)
@@ -84,6 +122,7 @@ class Chain:
                 raise
             except Exception as e:
                 raise ProcessingError(str(e), stage.name, {"original_exception": repr(e)}) from e
+            progress.step()
         return clip
 
 

@@ -31,13 +31,20 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--resolution", "-r", type=resolution)
     p.add_argument("--threshold", "-t", type=int, default=60)
     p.add_argument("--lanczos", "-lc", type=int, default=4)
+    p.add_argument("--dither", "--dt", action="store_true", help="ordered dithering, unless another method is named")
+    p.add_argument("--workers", "-w", type=int, help="threads of a local master, where no session exists")
+    p.add_argument("--execution-mode", "-e", choices=("threading", "multiprocessing"), help="accepted; Spark schedules the tasks")
+    p.add_argument("--batch-size", "-b", type=int, help="rows of an Arrow batch, at most")
+    p.add_argument("--cuda", "-c", help="not available")
+    p.add_argument("--interactive", "-it", action="store_true", help="not available")
     p.add_argument("--target-fps", "-f", type=float)
     p.add_argument("--reframe-technique", choices=("simple", "intelligent"), default="intelligent")
-    p.add_argument("--dither-method", choices=("none", "ordered", "floyd_steinberg"), default="none")
+    p.add_argument("--dither-method", type=lambda x: x.replace("-", "_"), choices=("none", "ordered", "floyd_steinberg"), default="none")
     p.add_argument("--dither-pattern", choices=sorted(pixel.BAYER), default="bayer4x4")
     p.add_argument("--delta", action="store_true")
     p.add_argument("--key-every", type=int)
     p.add_argument("--rle", "--run-length", action="store_true", help="write coded lines; implies --delta")
+    p.add_argument("--mc", action="store_true", help="motion compensation; not available")
     p.add_argument("--scanline", action="store_true")
     p.add_argument("--interlaced", action="store_true")
     p.add_argument("--output-format", choices=("scanlines", "frames"), default="scanlines")
@@ -47,16 +54,29 @@ def parser() -> argparse.ArgumentParser:
 
 def plan(a: argparse.Namespace, fps: float) -> chain.Chain:
     """The stages that the options ask for, in the usual order."""
-    if a.scanline and a.interlaced:
-        raise SystemExit("--scanline and --interlaced exclude each other")
-    if a.lanczos < 2:
-        raise SystemExit("--lanczos needs 2 or more")
+    rules = [
+        (a.interlaced and (a.rle or a.delta or a.mc), "--interlaced excludes --rle, --delta and --mc"),
+        (a.scanline and a.interlaced, "--scanline and --interlaced exclude each other"),
+        (a.scanline and a.mc, "--scanline excludes --mc"),
+        (a.mc, "--mc: there is no motion compensation"),
+        (a.cuda is not None, "--cuda: frames are computed by Spark's executors"),
+        (a.interactive, "--interactive: there is no player"),
+        (a.lanczos < 2, "--lanczos needs 2 or more"),
+        (a.target_fps is not None and a.target_fps <= 0, "--target-fps must be positive"),
+        (a.target_fps is not None and a.target_fps > fps, f"--target-fps must not be above the source's {fps}"),
+        (not 0 <= a.threshold <= 255, "--threshold must be within 0 and 255"),
+        (any(x is not None and x < 1 for x in (a.workers, a.batch_size, a.key_every)), "--workers, --batch-size and --key-every must be positive"),
+    ]
+    for broken, rule in rules:
+        if broken:
+            raise SystemExit(rule)
     c = chain.Chain()
     if a.resolution:
         c = c.then(chain.resizing(*a.resolution, kernel_size=a.lanczos))
     if a.target_fps and a.target_fps < fps:
         c = c.then(chain.reframing(a.target_fps, a.reframe_technique))
-    c = c.then(chain.one_bit(a.threshold, a.dither_method, a.dither_pattern))
+    method = "ordered" if a.dither and a.dither_method == "none" else a.dither_method
+    c = c.then(chain.one_bit(a.threshold, method, a.dither_pattern))
     if a.scanline:
         c = c.then(chain.scanlines())
     if a.interlaced:
@@ -66,7 +86,11 @@ def plan(a: argparse.Namespace, fps: float) -> chain.Chain:
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> Clip:
     a = parser().parse_args(argv)
-    spark = spark or SparkSession.builder.appName("frameloom").getOrCreate()
+    if spark is None:
+        builder = SparkSession.builder.appName("frameloom")
+        spark = (builder.master(f"local[{a.workers}]") if a.workers else builder).getOrCreate()
+    if a.batch_size:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(a.batch_size))
     if a.raw:
         width, height, channels = map(int, a.raw.lower().split("x"))
         spark.dataSource.register(frames.RawVideoSource)

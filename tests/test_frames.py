@@ -322,19 +322,141 @@ def test_streamed_delta(spark, tmp_path):
     try:
         query.processAllAvailable()
         got = {(r.frame_no, r.y): r.row for r in spark.table("coded").collect()}
+        # A late frame and a repeated one come out raw and marked; the next one follows the last on time.
+        spark.createDataFrame([("a", n, 0, bits[k][0]) for n, k in ((2, 1), (6, 0), (6, 4), (7, 2))], kind).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        query.processAllAvailable()
+        more = sorted((r.frame_no, r.late, r.row) for r in spark.table("coded").filter("frame_no > 5 or late").collect())
     finally:
         query.stop()
+    xor = lambda p, q: [a ^ b for a, b in zip(p, q, strict=True)]
+    assert more[0] == (2, True, bits[1][0]) and sorted(x[:2] for x in more) == [(2, True), (6, False), (6, True), (7, False)]
+    first = next(x[2] for x in more if x[:2] == (6, False))
+    late = next(x[2] for x in more if x[:2] == (6, True))
+    before = xor(first, bits[5][0])
+    assert {tuple(before), tuple(late)} == {tuple(bits[0][0]), tuple(bits[4][0])} and more[-1][2] == xor(bits[2][0], before)
     assert len(got) == 12
     for (n, y), row in got.items():
         assert row == (bits[0][y] if n == 0 else [a ^ b for a, b in zip(bits[n][y], bits[n - 1][y], strict=True)])
 
 
+def test_clips_of_files(spark, tmp_path):
+    """A file with its metadata, in both color modes; frames are counted."""
+    pictures = np.arange(2 * 3 * 4 * 3, dtype=np.uint8).reshape(2, 3, 4, 3)
+    (tmp_path / "video.mp4").write_bytes(pictures.tobytes())
+
+    def decoder(body):
+        return frames.VideoInfo(4, 3, 30.0, 90, 3.0, "h264", "yuv420p"), iter(np.frombuffer(body, np.uint8).reshape(-1, 3, 4, 3))
+
+    path = str(tmp_path / "video.mp4")
+    clip = frames.read_video(spark, path, decoder)
+    assert (frames.to_array(clip) == pictures).all() and (clip.resolution, clip.fps, clip.frame_count, clip.duration) == ((4, 3), 30.0, 2, 2 / 30)
+    assert clip.source == {"source_file": path, "original_duration": 3.0, "codec": "h264", "pixel_format": "yuv420p"}
+    assert clip.history[0].component == "read_video"
+    gray = frames.read_video(spark, path, decoder, color_mode="gray", max_frames=1, keep=str(tmp_path / "kept"))
+    assert gray.color_mode == "GRAY" and (frames.to_array(gray)[0] == np.array(onebit.to_gray(clip.scanlines).filter("frame_no = 0").orderBy("y").selectExpr("planes[0]").toPandas().iloc[:, 0].tolist())).all()
+    one = lambda body: (frames.VideoInfo(4, 3), iter(np.frombuffer(body, np.uint8)[:12].reshape(1, 3, 4)))
+    assert (frames.to_array(frames.read_video(spark, path, one))[..., 2] == pictures.reshape(-1)[:12].reshape(1, 3, 4)).all()
+    with pytest.raises(ValueError, match="RGB or GRAY"):
+        frames.read_video(spark, path, decoder, color_mode="BW")
+    info = frames.file_infos(spark, path, decoder).first()
+    assert (info.codec, info.expected) == ("h264", 90)
+
+
+def test_frames_to_files(spark, rgb):
+    """An encoder plug-in gets the frames in order, in runs."""
+
+    def encoder(info, pictures):
+        own = list(pictures)
+        return bytes([info.width, info.height, len(own)]) + b"".join(p.tobytes() for p in own)
+
+    plain = frames.to_array(rgb)
+    rows = frames.encode_files(rgb, encoder, frames_per_file=2).orderBy("part").collect()
+    assert [(r.first_frame, r.n_frames) for r in rows] == [(0, 2), (2, 1)]
+    assert b"".join(bytes(r.content)[3:] for r in rows) == plain.tobytes() and bytes(rows[0].content)[:3] == bytes([4, 2, 2])
+    bits = onebit.to_1bit(rgb, 30)
+    content = bytes(frames.encode_files(bits, encoder).first().content)[3:]
+    assert content == np.repeat(frames.to_array(bits)[..., None] * 255, 3, axis=3).astype(np.uint8).tobytes()
+
+
+@pytest.mark.parametrize("layout", ["scanlines", "frames"])
+@pytest.mark.parametrize("key_every", [None, 5])
+def test_written_deltas_are_decoded(spark, tmp_path, layout, key_every):
+    bits = np.random.default_rng(4).integers(0, 2, (20, 3, 6), dtype=np.uint8)
+    coded = chain.Chain().then(chain.delta_coding(key_every)).run(frames.from_array(spark, bits, 12.5, "BW"))
+    frames.write_clip(coded, str(tmp_path), layout=layout)
+    back = frames.read_clip(spark, str(tmp_path))
+    assert back.stats == coded.stats and back.history == coded.history
+    assert (frames.to_array(delta.delta_decode_clip(back)) == bits).all()
+
+
+def test_deltas_over_gaps(spark):
+    """Numbers without the key frames and the ends of chunks."""
+    bits = np.random.default_rng(5).integers(0, 2, (700, 2, 3), dtype=np.uint8)
+    lines = frames.from_array(spark, bits, 1, "BW").scanlines.filter("frame_no not in (0, 5, 10, 255, 256, 400) and frame_no not between 500 and 620")
+    rows = lambda df: sorted((r.frame_no, r.y, str(r.planes)) for r in df.collect())
+    want = rows(lines)
+    for every in (None, 5, 256):
+        coded = delta.delta_encode(lines, key_every=every)
+        assert rows(delta.delta_decode(coded, key_every=every)) == want
+    assert rows(delta.delta_decode(delta.delta_encode(lines), chunk=3)) == want
+
+
+def test_decoded_planes_of_any_shape(spark):
+    """Several channels, clips of different sizes, values beyond one bit."""
+    rng = np.random.default_rng(6)
+    kind = "clip_id string, frame_no long, y int, planes array<array<int>>"
+    shapes = {"a": (2, 5), "b": (1, 9), "c": (3, 1)}
+    rows = [(name, n, y, rng.integers(0, 1000, shape).tolist()) for name, shape in shapes.items() for n in range(30) for y in range(2)]
+    lines = spark.createDataFrame(rows, kind)
+    back = delta.delta_decode(delta.delta_encode(lines), chunk=7)
+    assert sorted(map(str, back.select(*lines.columns).collect())) == sorted(map(str, lines.collect()))
+
+
+def test_command_line_rules(spark):
+    parse = lambda *more: cli.parser().parse_args(["-i", "a", "-o", "b", *more])
+    for bad in (["--interlaced", "--rle"], ["--interlaced", "--delta"], ["--interlaced", "--mc"], ["--scanline", "--interlaced"], ["--scanline", "--mc"], ["--mc"], ["-c", "0"], ["-it"], ["-lc", "1"], ["-f", "0"], ["-f", "60"], ["-t", "300"], ["-w", "0"], ["-b", "0"]):
+        with pytest.raises(SystemExit):
+            cli.plan(parse(*bad), 30.0)
+    names = lambda *more: [s.name for s in cli.plan(parse(*more), 30.0).stages]
+    assert names("--scanline", "--rle", "-w", "2", "-e", "threading", "-b", "50") == ["to_1bit", "scanline", "delta_encode"]
+    assert names("--interlaced", "--dither") == ["to_1bit", "interlaced"] and parse("--dither-method", "floyd-steinberg").dither_method == "floyd_steinberg"
+
+
+def test_progress_and_other_resizers(rgb):
+    seen = []
+    halved = lambda lines, size, target, dtype: lines.filter("y = 0").selectExpr("clip_id", "frame_no", "y", "transform(planes, p -> slice(p, 1, 2)) AS planes")
+    out = chain.Chain().then(chain.resizing(2, 1, using=halved)).then(chain.one_bit(30)).run(rgb, lambda *x: seen.append(x))
+    assert out.resolution == (2, 1) and frames.to_array(out).shape == (3, 1, 2)
+    assert [x[:2] for x in seen] == [(1, 2), (2, 2)] and seen[1][2] >= seen[0][2] >= 0
+    progress = chain.Progress(30)
+    for _ in range(15):
+        progress.step()
+    progress.finish()
+    assert len(progress.times) == 10 and progress.done == 30 and progress.recent >= 0 and chain.Progress(1).recent is None
+
+
+@pytest.mark.parametrize("dtype", ["uint16", "float32", "float64"])
+def test_resize_keeps_the_type(spark, dtype):
+    rng = np.random.default_rng(7)
+    values = (rng.random((2, 6, 7)) * 60000 - (0 if dtype == "uint16" else 30000)).astype(dtype)
+    clip = frames.from_array(spark, values, 30, "GRAY")
+    for arrow in (False, True):
+        out = resize.resize(clip, (4, 9), arrow=arrow)
+        got = frames.to_array(out)
+        want = np.stack([lanczos.resize_array(f, 4, 9) for f in values.astype(np.float64)])
+        want = np.clip(want, 0, 65535).astype(np.uint16) if dtype == "uint16" else want.astype(dtype)
+        assert out.dtype == dtype and got.dtype == dtype and (got == want).all()
+
+
 def test_display_tables(spark, rgb, gray):
     from frameloom.operators import display
 
     assert display.normalise(rgb).filter("frame_no = 0 and y = 0").first().planes[0][1] == pytest.approx(3 / 255)
     assert len(display.normalise(gray).first().planes) == 1
     assert display.captions(rgb).orderBy("frame_no").first().caption == rgb.info(0)
+    done = onebit.to_1bit(rgb)
+    shown = display.captions(done, spark.createDataFrame([(1, 24.96)], "frame_no long, rate double")).orderBy("frame_no").collect()
+    assert [r.caption for r in shown] == [done.info(0), done.info(1, 24.96), done.info(2)] and "Last Process: to_1bit" in shown[0].caption and "Display FPS: 25.0" in shown[1].caption
     shown = spark.createDataFrame([("a", k * 50_000, k) for k in range(40)] + [("b", 5, 0)], "clip_id string, shown_us long, frame_no long")
     rates = {(r.clip_id, r.frame_no): r.rate for r in display.reached_rate(shown).collect()}
     assert rates["a", 0] is None and rates["b", 0] is None and rates["a", 39] == pytest.approx(20.0)
