@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import planes
 from ..schema import Clip, ProcessingError, binary_violations, require
 from .neighbours import CHUNK, with_previous
 
@@ -28,19 +29,15 @@ def delta_encode(scanlines: DataFrame, *, key_every: int | None = None) -> DataF
 def _lines(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, pa.ListArray]:
     """The values of all planes, a copy, where each row's begin (and the last
     end), and the planes themselves."""
-    planes = batch.column("planes")
-    inner = planes.flatten()
-    flat = inner.flatten()
-    ends = np.concatenate([[0], np.cumsum(inner.value_lengths().to_numpy(zero_copy_only=False))])
-    rows = np.concatenate([[0], np.cumsum(planes.value_lengths().to_numpy(zero_copy_only=False))])
-    return flat.to_numpy(zero_copy_only=False).copy(), ends[rows], planes
+    lines = batch.column("planes")
+    inner = lines.flatten()
+    return inner.flatten().to_numpy(zero_copy_only=False).copy(), planes.ends_of(inner)[planes.ends_of(lines)], lines
 
 
-def _again(planes: pa.ListArray, values: np.ndarray) -> pa.ListArray:
+def _again(lines: pa.ListArray, values: np.ndarray) -> pa.ListArray:
     """Planes of the same shape with other values."""
-    inner = planes.flatten()
-    sizes = lambda a: pa.array(np.concatenate([[0], np.cumsum(a.value_lengths().to_numpy(zero_copy_only=False))]), pa.int32())
-    return pa.ListArray.from_arrays(sizes(planes), pa.ListArray.from_arrays(sizes(inner), pa.array(values, pa.int32())))
+    inner = pa.ListArray.from_arrays(pa.array(planes.ends_of(lines.flatten()), pa.int32()), pa.array(values, pa.int32()))
+    return pa.ListArray.from_arrays(pa.array(planes.ends_of(lines), pa.int32()), inner)
 
 
 def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -49,7 +46,7 @@ def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
-        values, at, planes = _lines(batch)
+        values, at, lines = _lines(batch)
         keys = list(zip(*(batch.column(c).to_pylist() for c in ("clip_id", "y", "segment")), strict=True))
         a = 0
         while a < len(keys):
@@ -61,7 +58,7 @@ def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 own[0] ^= state
             np.bitwise_xor.accumulate(own, axis=0, out=own)
             key, state, a = keys[a], own[-1].copy(), b
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("clip_id", "frame_no", "y")), _again(planes, values)], ["clip_id", "frame_no", "y", "planes"])
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("clip_id", "frame_no", "y")), _again(lines, values)], ["clip_id", "frame_no", "y", "planes"])
 
 
 def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -85,7 +82,7 @@ def _before(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
-        values, at, planes = _lines(batch)
+        values, at, lines = _lines(batch)
         out, keep = np.zeros_like(values), []
         for k, (clip, y, s) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("clip_id", "y", "segment")), strict=True)):
             own = values[at[k] : at[k + 1]]
@@ -96,7 +93,7 @@ def _before(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 keep.append(k)
                 segment = s
             state = state ^ own
-        found = pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("clip_id", "y", "segment")), _again(planes, out)], ["clip_id", "y", "segment", "planes"])
+        found = pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("clip_id", "y", "segment")), _again(lines, out)], ["clip_id", "y", "segment", "planes"])
         yield found.take(pa.array(keep, pa.int64()))
 
 

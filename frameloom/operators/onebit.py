@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import pixel
+from ..functions import pixel, planes
 from ..schema import Clip, ProcessingError, require
 
 METHODS = ("none", "ordered", "floyd_steinberg")
@@ -66,39 +66,47 @@ def noise_dither(scanlines: DataFrame, t: float, seed: int = 0, spread: int = 16
 
 
 def diffuse(frames: np.ndarray, t: float) -> np.ndarray:
-    """Floyd-Steinberg over (frames, height, width): serial within a frame, all
-    frames of the batch at each step. Errors are computed in double precision
-    and kept in float32; what falls outside is lost."""
+    """Floyd-Steinberg over (frames, height, width). Errors are computed in
+    double precision and kept in float32; what falls outside is lost.
+
+    A pixel waits for its left neighbour and three above, so all with the same
+    x + 2 * y can go at once, in all frames. Two of them reach the same pixel
+    in one step: the one above comes first, as in a pass line by line.
+    """
     n, height, width = frames.shape
     work = np.zeros((height + 1, width + 2, n), dtype=np.float32)
     work[:height, 1:-1] = np.moveaxis(frames, 0, -1)
     out = np.zeros((height, width, n), dtype=np.int32)
-    for y in range(height):
-        here, below = work[y], work[y + 1]
-        for x in range(1, width + 1):
-            old = here[x].astype(np.float64)
-            new = np.where(old > t, 255.0, 0.0)
-            out[y, x - 1] = new > 0
-            error = old - new
-            for line, k, share in ((here, x + 1, 7), (below, x - 1, 3), (below, x, 5), (below, x + 1, 1)):
-                line[k] = (line[k] + error * share / 16).astype(np.float32)
+    for step in range(width + 2 * (height - 1)):
+        y = np.arange(max(0, (step - width + 2) // 2), min(height - 1, step // 2) + 1)
+        x = step - 2 * y + 1
+        old = work[y, x].astype(np.float64)
+        new = np.where(old > t, 255.0, 0.0)
+        out[y, x - 1] = new > 0
+        error = old - new
+        for down, along, share in ((1, -1, 3), (1, 0, 5), (1, 1, 1), (0, 1, 7)):
+            work[y + down, x + along] = (work[y + down, x + along] + error * share / 16).astype(np.float32)
     return np.moveaxis(out, -1, 0)
 
 
+#: Pixels that are diffused at a time, about; bounds a worker's memory.
+TOGETHER = 1 << 22
+
+
 def _diffused(t: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lines = [sorted((x["y"], x["p"]) for x in frame) for frame in batch.column("lines").to_pylist()]
+            found = planes.frames_of(batch.column("lines"), "p")
             shapes: dict[tuple[int, int], list[int]] = {}
-            for k, frame in enumerate(lines):
-                shapes.setdefault((len(frame), len(frame[0][1])), []).append(k)
-            out: list = [None] * len(lines)
-            for rows in shapes.values():
-                bits = diffuse(np.array([[p for _, p in lines[k]] for k in rows]), t)
-                for k, frame in zip(rows, bits.tolist(), strict=True):
-                    out[k] = [{"y": y, "p": p} for (y, _), p in zip(lines[k], frame, strict=True)]
-            kind = pa.list_(pa.struct([("y", pa.int32()), ("p", pa.list_(pa.int32()))]))
-            yield pa.RecordBatch.from_arrays([batch.column("clip_id"), batch.column("frame_no"), pa.array(out, kind)], ["clip_id", "frame_no", "lines"])
+            for k, (_, frame) in enumerate(found):
+                shapes.setdefault(frame.shape, []).append(k)
+            for (height, width), rows in shapes.items():
+                most = max(1, TOGETHER // max(1, height * width))
+                for some in (rows[a : a + most] for a in range(0, len(rows), most)):
+                    bits = diffuse(np.stack([found[k][1] for k in some]), t)
+                    own = batch.select(["clip_id", "frame_no"]).take(pa.array(np.repeat(some, height)))
+                    y = np.concatenate([found[k][0] for k in some])
+                    yield pa.RecordBatch.from_arrays([own.column("clip_id"), own.column("frame_no"), pa.array(y, pa.int32()), planes.lists_of(bits.reshape(-1, 1, width), pa.int32())], ["clip_id", "frame_no", "y", "planes"])
 
     return run
 
@@ -106,10 +114,8 @@ def _diffused(t: float):
 def floyd_steinberg(scanlines: DataFrame, t: float) -> DataFrame:
     """Error diffusion of one-channel lines. A frame is the unit: its lines
     are gathered once."""
-    kind = "clip_id string, frame_no long, lines array<struct<y: int, p: array<int>>>"
     frames = scanlines.groupBy("clip_id", "frame_no").agg(F.collect_list(F.struct("y", F.col("planes")[0].alias("p"))).alias("lines"))
-    done = frames.mapInArrow(_diffused(t), kind).select("clip_id", "frame_no", F.inline("lines"))
-    return done.select("clip_id", "frame_no", "y", F.array("p").alias("planes"))
+    return frames.mapInArrow(_diffused(t), "clip_id string, frame_no long, y int, planes array<array<int>>")
 
 
 def convert(scanlines: DataFrame, t: float = 128, method: str = "none", pattern: str = "bayer4x4") -> DataFrame:

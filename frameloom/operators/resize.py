@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import lanczos, pixel
+from ..functions import lanczos, pixel, planes
 from ..schema import Clip, ProcessingError, require
 
 
@@ -51,16 +51,13 @@ def _resized(size: tuple[int, int], target: tuple[int, int], dtype: str):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for clip, no, frame in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-                lines = [x["planes"] for x in sorted(frame, key=lambda x: x["y"])]
-                image = np.array(lines, dtype=np.float64)  # y, channel, x
+            keys = batch.select(["clip_id", "frame_no"])
+            kind = pa.int32() if most else pa.float64()
+            for k, (_, image) in enumerate(planes.frames_of(batch.column("lines"), "planes")):
                 out = np.stack([lanczos.resize_array(image[:, c], *target) for c in range(image.shape[1])], axis=1)
                 out = np.clip(out, 0, most).astype(np.int32) if most else out.astype(np.float64)
-                n = len(out)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([clip] * n), pa.array([no] * n, pa.int64()), pa.array(range(n), pa.int32()), pa.array([[p.tolist() for p in y] for y in out], pa.list_(pa.list_(pa.int32() if most else pa.float64())))],
-                    ["clip_id", "frame_no", "y", "planes"],
-                )
+                own = keys.take(pa.array(np.full(len(out), k)))
+                yield pa.RecordBatch.from_arrays([*own.columns, pa.array(np.arange(len(out)), pa.int32()), planes.lists_of(out, kind)], ["clip_id", "frame_no", "y", "planes"])
 
     return run
 

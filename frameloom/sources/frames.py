@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from ..functions import planes
 from ..schema import FRAMES, MODES, RANGES, SCANLINES, Clip, ProcessingError, Step
 
 # The file names and codecs that are expected.
@@ -111,14 +112,10 @@ def to_array(clip: Clip) -> np.ndarray:
 def pack_frames(clip: Clip) -> DataFrame:
     """FRAMES: one row a frame, the picture as bytes in row-major order with
     interleaved channels (uint8)."""
-    width, channels = clip.width, clip.channels
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for frame in batch.column("lines").to_pylist():
-                lines = [x["planes"] for x in sorted(frame, key=lambda x: x["y"])]
-                out.append(np.moveaxis(np.array(lines, dtype=np.uint8).reshape(-1, channels, width), 1, 2).tobytes())
+            out = [np.moveaxis(frame, 1, 2).astype(np.uint8).tobytes() for _, frame in planes.frames_of(batch.column("lines"), "planes")]
             yield pa.RecordBatch.from_arrays([batch.column("clip_id"), batch.column("frame_no"), batch.column("ts"), pa.array(out, pa.binary())], FRAMES.names)
 
     lines = clip.scanlines.groupBy("clip_id", "frame_no").agg(F.collect_list(F.struct("y", "planes")).alias("lines"))
@@ -130,9 +127,10 @@ def unpack_frames(frames: DataFrame, width: int, height: int, channels: int) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for clip, no, body in zip(*(batch.column(c).to_pylist() for c in ("clip_id", "frame_no", "pixels")), strict=True):
-                lines = lines_of(np.frombuffer(body, np.uint8).reshape(height, width, channels))
-                yield pa.RecordBatch.from_arrays([pa.array([clip] * height), pa.array([no] * height, pa.int64()), pa.array(range(height), pa.int32()), pa.array(lines, pa.list_(pa.list_(pa.int32())))], SCANLINES.names)
+            for k, body in enumerate(batch.column("pixels")):
+                frame = np.frombuffer(body.as_buffer(), np.uint8).reshape(height, width, channels)
+                own = batch.select(["clip_id", "frame_no"]).take(pa.array(np.full(height, k)))
+                yield pa.RecordBatch.from_arrays([*own.columns, pa.array(np.arange(height), pa.int32()), planes.lists_of(np.moveaxis(frame, 2, 1).astype(np.int32), pa.int32())], SCANLINES.names)
 
     return frames.select("clip_id", "frame_no", "pixels").mapInArrow(run, SCANLINES)
 
