@@ -15,7 +15,6 @@ import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -134,17 +133,6 @@ def hits(sketch: np.ndarray, places: np.ndarray) -> np.ndarray:
     return (sketch[places >> 3] >> (places & 7).astype(np.uint8) & 1).astype(bool)
 
 
-def marked(df: DataFrame, column: str, sketch: np.ndarray) -> DataFrame:
-    """Adds fl_hit: whether the sketch may hold the id. Only the ids go
-    through Python."""
-
-    @F.pandas_udf("boolean")
-    def hit(places: pd.Series) -> pd.Series:
-        return pd.Series(hits(sketch, places.to_numpy()))
-
-    return df.withColumn("fl_hit", hit.asNondeterministic()(mark(column)))
-
-
 def slices(sizes: Iterable[int], most: int) -> Iterator[tuple[int, int]]:
     """Consecutive ranges whose sizes sum to about ``most``; each holds an
     element at least, so one very long text makes a range of its own."""

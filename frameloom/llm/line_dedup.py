@@ -8,10 +8,6 @@ is no hot spot. Hashes in ``min_docs`` documents or more lose their lines in
 all but the largest doc_id that holds them. The losses are gathered by document
 and the text is put together again from the lines that stay, in their places.
 
-Only documents that may lose a line meet their losses: a sketch of their ids,
-``common.MARKS`` bits whatever the corpus, tells the others, whose texts stay
-where they are. Where it fills up, more texts move, with the same result.
-
 Rows that share a doc_id count as one document; rows without doc_id are one
 document that comes before all others. Null text counts as empty: one empty
 line, which stays. All rows come back, repeated ones too. Texts are read whole,
@@ -97,12 +93,8 @@ def line_dedup(docs: DataFrame, *, min_chars: int = 20, min_docs: int = 3, carry
     # Written first: the join then has plain exchanges on both sides, which adaptive execution splits if a line is hot.
     common_lines = scratch.keep(common_lines.select("k1", "k2", "last"), "common")
     lost = keys.join(common_lines, ["k1", "k2"]).filter("doc <> last").select("doc", F.struct("k1", "k2").alias("k"))
-    lost = scratch.keep(lost.groupBy("doc").agg(F.collect_set("k").alias("fl_lost")), "lost")
-    scratch.drop("keys", "common")
+    lost = lost.groupBy("doc").agg(F.collect_set("k").alias("fl_lost"))
     whole = docs.select(common.carried(carry), F.col("text").cast("string").alias("fl_text"), common.key_of("doc_id").alias("fl_doc"))
-    marked = common.marked(whole, "fl_doc", common.marks(lost, "doc"))
-    nothing = F.lit(None).cast(lost.schema["fl_lost"].dataType).alias("fl_lost")
-    losers = marked.filter("fl_hit").join(lost, F.col("fl_doc") == lost["doc"], "left").select("fl_row", "fl_text", "fl_lost")
-    joined = losers.unionByName(marked.filter("not fl_hit").select("fl_row", "fl_text", nothing))
+    joined = whole.join(lost, F.col("fl_doc") == lost["doc"], "left").select("fl_row", "fl_text", "fl_lost")
     kind = f"fl_row {common.carried_kind(docs, carry)}, fl_n_lines long, fl_n_dropped long, fl_kept string"
     return joined.mapInArrow(_assembled(min_chars), kind).select(*common.spread(carry, ["fl_n_lines", "fl_n_dropped", "fl_kept"]))

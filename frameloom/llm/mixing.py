@@ -36,10 +36,9 @@ carried columns may have any names, but those of results give way to these.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -162,10 +161,9 @@ def mix(docs: DataFrame, weights: dict[str, int] | None = None, *, other: int =
     turns = turns.join(F.broadcast(spark.createDataFrame(parts, "fl_part long, fl_base long")), "fl_part").select("fl_source", (F.col("fl_at") + F.col("fl_base")).alias("fl_turn"))
     runs = scratch.keep(runs.join(turns, "fl_source", "left").select("fl_source", "fl_part", "fl_first", "fl_before", "fl_turn"), "planned")
 
-    @F.pandas_udf("long")
-    def had(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for j in batches:
-            yield pd.Series(rounds.before(j.to_numpy()))
+    @F.arrow_udf("long")
+    def had(j: pa.Array) -> pa.Array:
+        return pa.array(rounds.before(j.to_numpy()))
 
     placed = rows.join(runs, ["fl_source", "fl_part"]).withColumn("fl_k", F.col("fl_at") - F.col("fl_first") + F.col("fl_before"))
     placed = placed.withColumn("fl_block", F.expr(f"fl_k div {block_rows}"))
