@@ -8,10 +8,10 @@ n characters and a sample of N, the cross entropy is about c * log2(N) / n bits
 a character; the language with the least wins, ties go to the name that sorts
 first.
 
-The automata are laid out as one double array: a state's transition by a
-symbol lies at the state's base plus the symbol, where the state's own number
-says that it does. So memory grows with the samples, whatever the alphabet.
-Parsing is a few look-ups a character, done by NumPy for thousands of texts at
+The automata are laid out as one double array: a state is a number, its
+transition by a symbol lies at that number plus the symbol, with the state it
+belongs to. So memory grows with the samples, whatever the alphabet.
+Parsing is a look-up a character, done by NumPy for thousands of texts at
 a time. Texts of more than ``CHUNK`` characters run in parts: each part is
 parsed as if a phrase began there, and then again from the state in which the
 part before ends, until both are in the same state, which they share from there
@@ -32,6 +32,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -89,52 +90,84 @@ class SuffixAutomaton:
         return len(self.next) - 1
 
 
+#: A cell: the state that it belongs to, how many phrases end there, the state that follows.
+OWNER, ENDED, NEXT = 34, 32, (1 << 32) - 1
+
+
 class Transitions:
-    """Transitions of numbered states as a double array."""
+    """Transitions of states as a double array: ``state`` has the number that
+    each row got, and ``cells[number + symbol]`` is its transition. Where there
+    is none the cell belongs to another state or to none (-1).
 
-    #: Places tried for a state before new room is taken.
+    A root has a cell for each symbol: one that begins no phrase is a phrase by
+    itself, and leads to the root again."""
+
+    #: Places tried for a row before new room is taken.
     TRIES = 64
 
-    def __init__(self, rows: list[dict[int, int]], symbols: int):
+    def __init__(self, rows: list[dict[int, int]], roots: list[int], symbols: int):
         """``rows``: for each state the symbols (from 1 to ``symbols``) and the
-        states that follow."""
-        self.base = np.zeros(len(rows), dtype=np.int32)
-        used = bytearray(2 * symbols + 2)
-        place: list[tuple[int, int, int]] = []
-        floor = symbols + 1
-        for state in sorted((k for k, row in enumerate(rows) if len(row) > 1), key=lambda k: -len(rows[k])):
-            own = sorted(rows[state])
-            low, wide, at = own[0], own[-1] - own[0], floor
+        rows that follow."""
+        self.state = np.zeros(len(rows), dtype=np.int64)
+        # ``top`` is above all that is used; there always is room for a row after it.
+        first = symbols + 1
+        floor = top = first + len(roots) * (symbols + 1)
+        used, taken, rest = bytearray(b"\1" * top), set(), []
+        for k, root in enumerate(roots):
+            self.state[root] = first + k * (symbols + 1)
+            taken.add(first + k * (symbols + 1))
+        for k in sorted(set(range(len(rows))) - set(roots), key=lambda k: (-len(rows[k]), k)):
+            own = rows[k]
+            if len(own) < 2:
+                rest.append(k)
+                continue
+            low, wide, at = min(own), max(own) - min(own), floor + k * 7919 % (top - floor + 1)
+            if len(used) < top + self.TRIES + 2 * symbols:
+                used.extend(bytes(len(used) + self.TRIES))
             for _ in range(self.TRIES):
                 at = used.find(0, at)
-                if at < 0 or at + wide >= len(used):
-                    used.extend(bytes(len(used) + wide + 1))
-                    at = used.find(0, max(at, floor)) if at >= 0 else used.find(0, floor)
-                if not any(used[at + c - low] for c in own):
+                if at >= top or (at - low not in taken and not any(used[at + c - low] for c in own)):
                     break
                 at += 1
             else:
-                at = len(used.rstrip(b"\0"))
-                used.extend(bytes(max(0, at + wide + 1 - len(used))))
-                floor = max(floor, at - 4 * symbols)
-            self.base[state] = at - low
+                at = top
+            while at - low in taken:
+                at += 1
+            top = max(top, at + wide + 1)
+            self.state[k] = at - low
+            taken.add(at - low)
             for c in own:
                 used[at + c - low] = 1
-                place.append((at + c - low, state, rows[state][c]))
-        # The others have one transition, and take what is free.
-        single = [(k, *next(iter(row.items()))) for k, row in enumerate(rows) if len(row) == 1]
-        free = np.flatnonzero(np.frombuffer(used, dtype=np.uint8) == 0)
-        free = free[free > symbols][: len(single)]
-        free = np.concatenate([free, len(used) + np.arange(len(single) - len(free))]).astype(np.int64)
-        where, state, to = (np.array(x, dtype=np.int64) for x in (zip(*place, strict=True) if place else ((), (), ())))
-        if single:
-            k, c, then = (np.array(x, dtype=np.int64) for x in zip(*single, strict=True))
-            self.base[k] = free - c
-            where, state, to = np.concatenate([where, free]), np.concatenate([state, k]), np.concatenate([to, then])
-        # A base is 0 at least, and a symbol after it lies within the array.
-        size = int(max(where.max(initial=0), self.base.max(initial=0))) + symbols + 1
-        self.owner, self.then = np.full(size, -1, dtype=np.int32), np.zeros(size, dtype=np.int32)
-        self.owner[where], self.then[where] = state, to
+        # Rows of one transition take what is free; those of none need a number only.
+        free, later = used.find(0, first), []
+        for k in rest:
+            c = next(iter(rows[k]), 0)
+            for j, at in enumerate(later):
+                if at - c not in taken:
+                    later[j] = later[-1]
+                    later.pop()
+                    break
+            else:
+                while True:
+                    if free < 0 or free >= len(used):
+                        free = len(used)
+                        used.extend(bytes(len(used)))
+                    at, free = free, used.find(0, free + 1)
+                    if at - c not in taken:
+                        break
+                    if len(later) < 100:
+                        later.append(at)
+            self.state[k] = at - c
+            taken.add(at - c)
+            if c:
+                used[at] = 1
+        self.cells = np.full(max(len(used), int(self.state.max(initial=0)) + 1) + symbols + 1, -1, dtype=np.int64)
+        for root in roots:
+            at = self.state[root]
+            self.cells[at : at + symbols + 1] = at << OWNER | 1 << ENDED | at
+        if moves := [(k, c, to) for k, row in enumerate(rows) for c, to in row.items()]:
+            k, c, to = (np.array(x, dtype=np.int64) for x in zip(*moves, strict=True))
+            self.cells[self.state[k] + c] = self.state[k] << OWNER | self.state[to]
 
 
 class Parser:
@@ -153,17 +186,21 @@ class Parser:
             before = len(rows)
             roots.append(before)
             rows += [{self.symbol[c]: before + to for c, to in own.items()} for own in SuffixAutomaton(samples[lang]).next]
-        self.roots = np.array(roots, dtype=np.int32)
-        self.moves = Transitions(rows, len(letters))
-        # Where a phrase leads that begins with a symbol: by symbol and language, the root if the sample lacks it.
-        self.begin = np.tile(self.roots, (len(letters) + 1, 1))
-        for k, root in enumerate(roots):
-            for c, to in rows[root].items():
-                self.begin[c, k] = to
-        self.codes = np.zeros(0x110000, dtype=np.int32)
-        self.codes[:] = -1
+        moves = Transitions(rows, roots, len(letters))
+        self.cells, self.roots = moves.cells, moves.state[roots]
+        # Without a match a phrase ends and the root's way is taken: by symbol and language.
+        self.begin = (self.cells[self.roots + np.arange(len(letters) + 1)[:, None]] & ((1 << OWNER) - 1)) + (1 << ENDED)
+
+    @cached_property
+    def codes(self) -> np.ndarray:
+        """The symbol of each character, -1 if it has none."""
+        out = np.full(0x110000, -1, dtype=np.int32)
         for c, k in self.symbol.items():
-            self.codes[ord(c)] = k
+            out[ord(c)] = k
+        return out
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "codes"}
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Symbols of all normalised texts, and how many each has."""
@@ -195,14 +232,10 @@ class Parser:
         return codes[chosen], np.bincount(text_of[chosen], minlength=len(texts))
 
     def _step(self, at: np.ndarray, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The states after one symbol each, and how many phrases have ended:
-        without a match the phrase before, and the character itself if it
-        begins none."""
-        spot = self.moves.base[at] + symbols[:, None]
-        known = self.moves.owner[spot] == at
-        begin = self.begin[symbols]
-        ended = ((at != self.roots).view(np.int8) + (begin == self.roots).view(np.int8)) * ~known
-        return np.where(known, self.moves.then[spot], begin), ended
+        """The states after one symbol each, and how many phrases have ended."""
+        found = self.cells.take(at + symbols[:, None])
+        found = np.where(found >> OWNER == at, found, self.begin.take(symbols, axis=0))
+        return found & NEXT, found >> ENDED & 3
 
     def phrases(self, symbols: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Phrases by text and language."""
@@ -249,7 +282,7 @@ class Parser:
         while len(live):
             now = symbols[begin[live] + t]
             (a, x), (b, y) = self._step(a, now), self._step(b, now)
-            gained[live] += x.astype(np.int64) - y
+            gained[live] += x - y
             t += 1
             met, over = (a == b).all(axis=1), size[live] <= t
             end[live[over]] = a[over]
@@ -292,18 +325,6 @@ def sample(docs: DataFrame, learn: Column, *, docs_a_lang: int = 64, chars: int
     return {lang: " ".join(filter(None, own)) for lang, own in texts.items() if any(own)}
 
 
-_PARSERS: dict[tuple, Parser] = {}
-
-
-def _parser(samples: dict[str, str]) -> Parser:
-    """One for each Python worker and set of samples."""
-    key = tuple(sorted(samples.items()))
-    if key not in _PARSERS:
-        _PARSERS.clear()
-        _PARSERS[key] = Parser(samples)
-    return _PARSERS[key]
-
-
 def predict(docs: DataFrame, samples: dict[str, str], carry: list[str]) -> DataFrame:
     """The ``carry`` columns with fl_lang (``und`` for null texts and texts
     without letters) and fl_score, one row for each row of ``docs``. Without
@@ -315,8 +336,9 @@ def predict(docs: DataFrame, samples: dict[str, str], carry: list[str]) -> DataF
 def _predicted(rows: DataFrame, samples: dict[str, str]) -> DataFrame:
     """The columns of (.., fl_text) but the text, with fl_lang and fl_score."""
 
+    parser = Parser(samples)  # laid out once and sent along
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parser = _parser(samples)
         for batch in batches:
             langs, scores = parser.predict(batch.columns[-1].to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], [*batch.schema.names[:-1], "fl_lang", "fl_score"])

@@ -65,7 +65,7 @@ def test_large_alphabets():
     words = {x: ["".join(rng.choice(letters, rng.integers(1, 5))) for _ in range(1500)] for x, letters in alphabets.items()}
     samples = {x: " ".join(own) for x, own in words.items()}
     parser = lang_id.Parser(samples)
-    assert len(parser.symbol) > 2000 and len(parser.moves.owner) < 4 * sum(len(s) * 2 for s in samples.values())
+    assert len(parser.symbol) > 2000 and len(parser.cells) < 10 * sum(len(s) for s in samples.values())
     texts = [" ".join(rng.choice(words[x], 12)) for x in "cdkx" for _ in range(10)]
     texts += [f"{chr(0xAC00 + 3)}1{chr(0x4E00 + 700)}ab {chr(0x9FA0)}, {chr(0x9FA1)}z", "".join(rng.choice(alphabets["c"], 40)), "", f"a{chr(0x9FA0)}"]
     symbols, sizes = parser.encode(texts)
