@@ -8,7 +8,7 @@ the raw bytes of the ids, so an id sequence that ends inside a character
 decodes as well.
 
 Null and empty texts have no ids. Each input row gives one row, repeated rows
-too; columns other than those named are not read.
+too, and an empty table none; columns other than those named are not read.
 """
 
 from __future__ import annotations

@@ -78,12 +78,15 @@ def write_whole(df: DataFrame, path: str) -> None:
 
 class Scratch:
     """Tables of one run, below the shared folder. A table that its result
-    reads stays until the application ends; ``drop`` and ``close`` remove the
-    others."""
+    reads stays until the driver's JVM ends, which then removes it; ``drop``
+    and ``close`` remove the others."""
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
         self.uri = f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+        store, path = _store(spark, self.uri)
+        store.mkdirs(path)
+        store.deleteOnExit(path)
 
     def keep(self, df: DataFrame, name: str, *, whole_values: bool = False) -> DataFrame:
         """Writes df and reads it again: what follows starts from the files."""
@@ -104,9 +107,15 @@ class Scratch:
         remove(self.spark, self.uri)
 
 
-def remove(spark: SparkSession, uri: str) -> None:
+def _store(spark: SparkSession, uri: str):
+    """Hadoop's file system and path of a URI: any store that Spark knows."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(uri)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def remove(spark: SparkSession, uri: str) -> None:
+    store, path = _store(spark, uri)
+    store.delete(path, True)
 
 
 #: Bits of a sketch of ids: 1 MB, whatever the corpus.

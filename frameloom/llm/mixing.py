@@ -160,6 +160,7 @@ def mix(docs: DataFrame, weights: dict[str, int] | None = None, *, other: int =
         base += n
     turns = turns.join(F.broadcast(spark.createDataFrame(parts, "fl_part long, fl_base long")), "fl_part").select("fl_source", (F.col("fl_at") + F.col("fl_base")).alias("fl_turn"))
     runs = scratch.keep(runs.join(turns, "fl_source", "left").select("fl_source", "fl_part", "fl_first", "fl_before", "fl_turn"), "planned")
+    scratch.drop("runs", "turns")
 
     @F.arrow_udf("long")
     def had(j: pa.Array) -> pa.Array:

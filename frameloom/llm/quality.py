@@ -5,9 +5,11 @@ measured and one bit for each rule that failed. A policy is a version with the
 mask of the rules that it enforces: applying another version, or asking what a
 rule costs, reads the ledger's integers and never the texts.
 
-Words are runs of other characters than space and U+0009 to U+000D. Null text
-counts as empty: no words, which fails the base rules. Each row of the input
-has a row of the ledger.
+Words are runs of other characters than space and U+0009 to U+000D; letters are
+Unicode's categories L, upper-case ones Lu. Null text counts as empty: no words,
+which fails the base rules. Each row of the input has a row of the ledger,
+repeated ones too; texts are measured whole, however long; an empty table has an
+empty ledger. Columns other than doc_id and text are not read.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from unicodedata import category
 
 import numpy as np
 import pyarrow as pa
@@ -104,7 +107,7 @@ def _classes() -> list[np.ndarray]:
     """Which code points are letters, and upper-case ones."""
     if not _CLASSES:
         every = [chr(c) for c in range(0x110000)]
-        _CLASSES.extend([np.array([c.isalpha() for c in every]), np.array([c.isupper() for c in every])])
+        _CLASSES.extend([np.array([c.isalpha() for c in every]), np.array([category(c) == "Lu" for c in every])])
     return _CLASSES
 
 

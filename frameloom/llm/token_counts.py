@@ -7,7 +7,8 @@ limit without another look at the texts. The sums are taken in two levels,
 within blocks of lengths and over the blocks, so no task sees all lengths.
 
 Null and empty texts count as documents of 0 tokens. Repeated rows count each
-time. An empty table has an empty histogram.
+time. Texts are encoded whole, however long. An empty table has an empty
+histogram. Columns other than text are not read.
 """
 
 from __future__ import annotations

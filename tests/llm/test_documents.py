@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -251,7 +252,7 @@ def brute_measures(text):
     inside = {k + j for k in range(len(words) - 2) for j in range(3) if windows[tuple(words[k : k + 3])] > 1}
     lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
     letters = [c for c in text if c.isalpha()]
-    return (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(inside), len(lines), sum(c.isupper() for c in text), len(letters))
+    return (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(inside), len(lines), sum(unicodedata.category(c) == "Lu" for c in text), len(letters))
 
 
 @pytest.mark.parametrize("which", ["docs", "edge", "none"])
@@ -266,6 +267,12 @@ def test_quality_ledger(request, which):
             assert r[f"kept_{p.version}"] == (r.failed & p.mask == 0)
 
 
+def test_classes_of_letters():
+    """Numerals and circled letters have capitals, but are none."""
+    found = dict(zip(quality.MEASURES, quality.measure("Ⅷ Ⓐ Ab É ǅ"), strict=True))
+    assert (found["n_upper"], found["n_letters"]) == (2, 4)
+
+
 def test_ablations(docs):
     found = quality.ledger(docs).cache()
     bits = [r.failed for r in found.collect()]
