@@ -44,8 +44,8 @@ from . import common
 CHUNK = 4096
 #: Above all symbols: a character is at most 0x10FFFF.
 NO_LETTER = 1 << 21
-#: Characters parsed at a time; bounds a worker's memory.
-SLICE = 1 << 20
+#: Characters encoded and, as symbols, parsed at a time; they bound a worker's memory.
+SLICE, TOGETHER = 1 << 19, 1 << 22
 UNKNOWN = "und"
 
 
@@ -295,8 +295,10 @@ class Parser:
         best language is behind, as a share of its entropy."""
         langs, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
         known = [k for k, t in enumerate(texts) if t and has_letter(t)] if self.langs else []
-        for a, b in common.slices([len(texts[k]) for k in known], SLICE // (1 + len(self.langs) // 64)) if known else ():
-            symbols, sizes = self.encode([texts[k] for k in known[a:b]])
+        for a, b in common.slices([len(texts[k]) for k in known], TOGETHER // (1 + len(self.langs) // 16)) if known else ():
+            own = [texts[k] for k in known[a:b]]
+            parts = [self.encode(own[c:d]) for c, d in common.slices(map(len, own), SLICE)]
+            symbols, sizes = (np.concatenate(x) for x in zip(*parts, strict=True))
             entropy = self.phrases(symbols, sizes) * np.array(self.bits) / np.maximum(sizes, 1)[:, None]
             first = entropy.argmin(axis=1)
             ranked = np.sort(entropy, axis=1)
