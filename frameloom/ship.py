@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import zipfile
 from pathlib import Path
@@ -13,13 +15,16 @@ _SENT: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Adds the package's files to the application, once."""
+    """Adds the package's files to the application, once. The archive that
+    executors fetch from the driver goes when the driver ends."""
     context = spark.sparkContext
     if context.applicationId in _SENT:
         return
     _SENT.add(context.applicationId)
     root = Path(__file__).resolve().parent
-    path = os.path.join(tempfile.mkdtemp(prefix="frameloom-"), "frameloom.zip")
+    folder = tempfile.mkdtemp(prefix="frameloom-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    path = os.path.join(folder, "frameloom.zip")
     with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
         for file in sorted(root.rglob("*.py")):
             z.write(file, file.relative_to(root.parent))
