@@ -24,6 +24,8 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import common
+
 PIECE = 1 << 16
 #: A place where a text may be cut, in any engine's reading of white space.
 SAFE = re.compile(r"(?<=[^\s\x1c-\x1f᠎​﻿])(?=[ \t\n\r\x0b\x0c])")
@@ -81,7 +83,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
             ids = [enc.encode(t.as_py()) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
-    return _rows(docs).mapInArrow(run, "doc_id long, ids array<int>")
+    return _rows(docs).mapInArrow(common.tidy(run), "doc_id long, ids array<int>")
 
 
 def decode(ids: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -93,7 +95,7 @@ def decode(ids: DataFrame, path: str, pattern: str) -> DataFrame:
             out = [enc.decode(x.as_py() or ()) for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["doc_id", "bytes"])
 
-    return ids.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("ids").cast("array<int>").alias("ids")).mapInArrow(run, "doc_id long, bytes binary")
+    return ids.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("ids").cast("array<int>").alias("ids")).mapInArrow(common.tidy(run), "doc_id long, bytes binary")
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str, *, with_ids: bool = False) -> DataFrame:
@@ -123,7 +125,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str, *, with_ids: bool = Fal
             yield pa.RecordBatch.from_arrays(cols, names)
 
     kind = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, exact boolean"
-    return _rows(docs).mapInArrow(run, kind + ", ids array<int>" * with_ids)
+    return _rows(docs).mapInArrow(common.tidy(run), kind + ", ids array<int>" * with_ids)
 
 
 def _rows(docs: DataFrame) -> DataFrame:

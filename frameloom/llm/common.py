@@ -10,9 +10,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 NULL_ID = -(2**63)
+Batches = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 
 def key_of(column: str) -> Column:
@@ -70,6 +72,26 @@ def shared_root(spark: SparkSession) -> str:
     return root
 
 
+def _release() -> None:
+    """Gives the memory back that this worker has freed."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # not this C library
+        pass
+
+
+def tidy(run: Batches) -> Batches:
+    """A function for mapInArrow whose worker, which waits for other tasks
+    afterwards, keeps no more memory than it needs."""
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        _release()
+
+    return tidied
+
+
 def write_whole(df: DataFrame, path: str) -> None:
     """Parquet for rows that hold large binary values: no dictionaries, small
     row groups, so that neither side holds many of them at a time."""
@@ -224,7 +246,7 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """
     a, b = edges.columns
     now = scratch.keep(
-        edges.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b")).filter("a <> b").mapInArrow(_contract, "a long, b long"),
+        edges.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b")).filter("a <> b").mapInArrow(tidy(_contract), "a long, b long"),
         f"{name}-0",
     )
     mark, k = None, 0

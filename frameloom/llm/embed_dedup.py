@@ -291,7 +291,7 @@ def embedding_links(vectors: DataFrame, *, threshold: float = 0.95, recall: floa
     scratch = common.Scratch(vectors.sparkSession, "embeddings")
     keep = scratch.keep
     rows = vectors.select(common.key_of("vec_id").alias("vec"), F.col("embedding").cast("array<double>").alias("embedding"))
-    full = keep(rows.mapInArrow(_units, "vec long, f1 long, f2 long, dim long, v binary"), "units")
+    full = keep(rows.mapInArrow(common.tidy(_units), "vec long, f1 long, f2 long, dim long, v binary"), "units")
     # Without a direction a vector links with nothing.
     alone = full.filter("dim is null").select("vec", F.lit(0).cast("long").alias("n_links"), F.col("vec").alias("component"))
     full = full.filter("dim is not null")
@@ -305,8 +305,8 @@ def embedding_links(vectors: DataFrame, *, threshold: float = 0.95, recall: floa
         cells += index.cells if index else 1
     if not indexes:
         return alone
-    placed = keep(nodes.select("node", "n", "v", "dim").mapInArrow(_placed(indexes), "node long, n long, v binary, own long, visits array<long>"), "placed")
-    found = keep(_dealt(placed, scratch).mapInArrow(_matched(threshold), "kind int, a long, b long"), "found")
+    placed = keep(nodes.select("node", "n", "v", "dim").mapInArrow(common.tidy(_placed(indexes)), "node long, n long, v binary, own long, visits array<long>"), "placed")
+    found = keep(_dealt(placed, scratch).mapInArrow(common.tidy(_matched(threshold)), "kind int, a long, b long"), "found")
     scratch.drop("placed")
     counts = keep(found.filter("kind = 0").groupBy(F.col("a").alias("c_node")).agg(F.sum("b").alias("links")), "counts")
     stars = common.components(found.filter("kind = 1").select("a", "b"), scratch, "links")

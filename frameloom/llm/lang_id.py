@@ -346,7 +346,7 @@ def _predicted(rows: DataFrame, samples: dict[str, str]) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], [*batch.schema.names[:-1], "fl_lang", "fl_score"])
 
     kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[:-1])
-    return rows.mapInArrow(run, f"{kind}, fl_lang string, fl_score double")
+    return rows.mapInArrow(common.tidy(run), f"{kind}, fl_lang string, fl_score double")
 
 
 def held_out() -> Column:

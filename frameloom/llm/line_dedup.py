@@ -87,7 +87,7 @@ def line_dedup(docs: DataFrame, *, min_chars: int = 20, min_docs: int = 3, carry
     scratch = common.Scratch(docs.sparkSession, "line-dedup")
     carry = ["doc_id"] if carry is None else carry
     rows = docs.select(common.key_of("doc_id").alias("doc"), F.col("text").cast("string").alias("text"))
-    keys = scratch.keep(rows.mapInArrow(_exploded(min_chars), "doc long, k1 long, k2 long"), "keys")
+    keys = scratch.keep(rows.mapInArrow(common.tidy(_exploded(min_chars)), "doc long, k1 long, k2 long"), "keys")
     held = keys.groupBy("k1", "k2", "doc").agg(F.lit(1).alias("one"))
     common_lines = held.groupBy("k1", "k2").agg(F.count("*").alias("n"), F.max("doc").alias("last")).filter(F.col("n") >= min_docs)
     # Written first: the join then has plain exchanges on both sides, which adaptive execution splits if a line is hot.
@@ -97,4 +97,4 @@ def line_dedup(docs: DataFrame, *, min_chars: int = 20, min_docs: int = 3, carry
     whole = docs.select(common.carried(carry), F.col("text").cast("string").alias("fl_text"), common.key_of("doc_id").alias("fl_doc"))
     joined = whole.join(lost, F.col("fl_doc") == lost["doc"], "left").select("fl_row", "fl_text", "fl_lost")
     kind = f"fl_row {common.carried_kind(docs, carry)}, fl_n_lines long, fl_n_dropped long, fl_kept string"
-    return joined.mapInArrow(_assembled(min_chars), kind).select(*common.spread(carry, ["fl_n_lines", "fl_n_dropped", "fl_kept"]))
+    return joined.mapInArrow(common.tidy(_assembled(min_chars)), kind).select(*common.spread(carry, ["fl_n_lines", "fl_n_dropped", "fl_kept"]))

@@ -339,7 +339,7 @@ def near_duplicates(docs: DataFrame, *, threshold: float = 0.8, words: int = WOR
     scratch = common.Scratch(spark, "minhash")
     keep: Callable[[DataFrame, str], DataFrame] = scratch.keep
     texts = docs.select(common.key_of("doc_id").alias("doc"), F.col("text").cast("string").alias("text"))
-    sketch = keep(texts.mapInArrow(_sketches(words, bands, k, weighting), "doc long, f1 long, f2 long, bands array<long>, sig binary"), "sketch")
+    sketch = keep(texts.mapInArrow(common.tidy(_sketches(words, bands, k, weighting)), "doc long, f1 long, f2 long, bands array<long>, sig binary"), "sketch")
     full = sketch.filter("f1 is not null")
     empty = sketch.filter("f1 is null").select("doc", F.col("doc").alias("copy_of"), F.col("doc").alias("class_id"))
     # Equal sets have equal signatures: the first stands for all.
@@ -352,16 +352,16 @@ def near_duplicates(docs: DataFrame, *, threshold: float = 0.8, words: int = WOR
     hits = hits.join(nodes.select("node", "sig"), "node")
     # 4.8 standard deviations below what a pair at the threshold is expected to agree in
     least = math.floor(k * threshold - 4.8 * math.sqrt(k * threshold * (1 - threshold)))
-    near = _in_blocks(hits, "key", "node", BUCKET_BLOCK, "sig").mapInArrow(_candidates(least), "a long, b long")
+    near = _in_blocks(hits, "key", "node", BUCKET_BLOCK, "sig").mapInArrow(common.tidy(_candidates(least)), "a long, b long")
     clusters = keep(common.components(near.distinct(), scratch, "near").select("node", F.col("comp").alias("q")), "clusters")
     sizes = keep(clusters.groupBy("q").agg(F.count("*").alias("m")), "sizes")
     prints = nodes.select(F.col("node").alias("n_node"), "rep", "f1", "f2")
     clustered = keep(clusters.join(sizes, "q").join(prints, F.col("node") == F.col("n_node")).select("q", "m", "node", "rep", "f1", "f2"), "clustered")
     scratch.drop("buckets", "hits", "clusters", "sizes")
 
-    sets = texts.select("doc", common.mark("doc").alias("b"), "text").mapInArrow(_sets(words, common.marks(clustered, "rep"), weighting), "doc long, f1 long, f2 long, set binary")
+    sets = texts.select("doc", common.mark("doc").alias("b"), "text").mapInArrow(common.tidy(_sets(words, common.marks(clustered, "rep"), weighting)), "doc long, f1 long, f2 long, set binary")
     sets = sets.join(clustered.withColumnRenamed("rep", "doc"), ["doc", "f1", "f2"]).select("q", "m", "node", "set")
-    links = _in_blocks(sets, "q", "node", SET_BLOCK, "set").mapInArrow(_verified(threshold), "a long, b long")
+    links = _in_blocks(sets, "q", "node", SET_BLOCK, "set").mapInArrow(common.tidy(_verified(threshold)), "a long, b long")
     classes = keep(common.components(links.distinct(), scratch, "links"), "classes")
     classes = keep(classes.join(prints, F.col("node") == F.col("n_node")).select("node", "comp", "rep"), "linked")
     labels = keep(classes.groupBy("comp").agg(F.min("rep").alias("label")), "labels")

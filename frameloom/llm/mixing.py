@@ -13,7 +13,8 @@ and take turns in it, each in every round while it has blocks, the larger ones
 first. So a plan depends on the weights only, and there may be any number of
 sources. Before round j the group has had as many blocks as the sum of
 min(blocks, j) over its sources, which follows from a table of the distinct
-numbers of blocks; N blocks allow no more than sqrt(2 N) of these.
+numbers of blocks; N blocks allow no more than sqrt(2 N) of these. Each run of
+a source's rows gets the few lines of the table that its blocks need.
 
 When a source or the group has no blocks left, the others go on with their
 weights and a new schedule: all documents are kept, and the targets hold as far
@@ -114,15 +115,30 @@ class Rounds:
         self.ended = np.cumsum(n * self.blocks)  # blocks of the sources that have no more than so many
         self.alive = n.sum() - np.cumsum(n)  # sources that have more
 
-    def before(self, j: np.ndarray) -> np.ndarray:
-        k = np.searchsorted(self.blocks, j, side="right") - 1
-        return self.ended[k] + self.alive[k] * j
+    def steps(self, first: int, last: int) -> list[dict[str, int]]:
+        """For rounds j from first to last, where b <= j of the last step that
+        has it: ended + alive * j."""
+        a, b = np.searchsorted(self.blocks, [first, last], side="right")
+        return [{"b": int(self.blocks[k]), "ended": int(self.ended[k]), "alive": int(self.alive[k])} for k in range(a - 1, b)]
 
     @property
     def total(self) -> int:
         return int(self.ended[-1])
 
 
+def _stepped(rounds: Rounds, block_rows: int):
+    """Adds to each run of a group's source the steps for its blocks."""
+    kind = pa.list_(pa.struct([("b", pa.int64()), ("ended", pa.int64()), ("alive", pa.int64())]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(*(batch.column(c).to_pylist() for c in ("fl_before", "fl_n", "fl_turn")), strict=True)
+            steps = [None if turn is None else rounds.steps(k // block_rows, (k + n - 1) // block_rows) for k, n, turn in rows]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(steps, kind)], [*batch.schema.names, "fl_steps"])
+
+    return run
+
+
 def mix(docs: DataFrame, weights: dict[str, int] | None = None, *, other: int = 1, block_rows: int = 32, carry: list[str] | None = None) -> DataFrame:
     """The ``carry`` columns (doc_id, source if not given) with fl_block (of
     the source), fl_slot and fl_position (the place in the mix; its order is
@@ -159,21 +175,17 @@ def mix(docs: DataFrame, weights: dict[str, int] | None = None, *, other: int =
         parts.append((part, base))
         base += n
     turns = turns.join(F.broadcast(spark.createDataFrame(parts, "fl_part long, fl_base long")), "fl_part").select("fl_source", (F.col("fl_at") + F.col("fl_base")).alias("fl_turn"))
-    runs = scratch.keep(runs.join(turns, "fl_source", "left").select("fl_source", "fl_part", "fl_first", "fl_before", "fl_turn"), "planned")
+    runs = runs.join(turns, "fl_source", "left").select("fl_source", "fl_part", "fl_first", "fl_n", "fl_before", "fl_turn")
+    kind = "fl_source string, fl_part long, fl_first long, fl_n long, fl_before long, fl_turn long, fl_steps array<struct<b: long, ended: long, alive: long>>"
+    runs = scratch.keep(runs.mapInArrow(common.tidy(_stepped(rounds, block_rows)), kind), "planned")
     scratch.drop("runs", "turns")
 
-    @F.arrow_udf("long")
-    def had(j: pa.Array) -> pa.Array:
-        return pa.array(rounds.before(j.to_numpy()))
-
     placed = rows.join(runs, ["fl_source", "fl_part"]).withColumn("fl_k", F.col("fl_at") - F.col("fl_first") + F.col("fl_before"))
     placed = placed.withColumn("fl_block", F.expr(f"fl_k div {block_rows}"))
-    if rounds.total:
-        # How often the group has been served when a block's turn comes.
-        placed = placed.withColumn("fl_had", had("fl_block"))
-        placed = placed.withColumns({"fl_entity": F.when(F.col("fl_turn").isNull(), F.col("fl_source")).otherwise(F.lit(group)), "fl_seq": F.when(F.col("fl_turn").isNull(), F.col("fl_block")).otherwise(F.col("fl_had") + F.col("fl_turn"))})
-    else:
-        placed = placed.withColumns({"fl_entity": F.col("fl_source"), "fl_seq": F.col("fl_block")})
+    # How often the group has been served when a block's turn comes.
+    placed = placed.withColumn("fl_step", F.expr("element_at(filter(fl_steps, s -> s.b <= fl_block), -1)"))
+    alone = F.col("fl_turn").isNull()
+    placed = placed.withColumns({"fl_entity": F.when(alone, F.col("fl_source")).otherwise(F.lit(group)), "fl_seq": F.when(alone, F.col("fl_block")).otherwise(F.expr("fl_step.ended + fl_step.alive * fl_block + fl_turn"))})
     kind = "fl_entity string, fl_from long, fl_to long, fl_base long, fl_period long, fl_slots array<long>"
     slots = spark.createDataFrame([tuple(r.values()) for r in phases(blocks, {s: chosen[s] for s in blocks})], kind)
     # The slots are bounded by the weights, not by documents.

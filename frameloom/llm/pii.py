@@ -517,7 +517,7 @@ def resolve(entities: DataFrame, key: bytes, scratch: common.Scratch, rounds: in
     """(kind, canon, attempt, new) with distinct surrogates, none of which is
     an entity of the corpus. ``entities`` has distinct (kind, canon)."""
     kind = "kind string, canon string, attempt int, new string"
-    propose = lambda df: df.mapInArrow(_proposals(key), kind)
+    propose = lambda df: df.mapInArrow(common.tidy(_proposals(key)), kind)
     bare = F.when(F.col("kind") == "given", F.substring_index("canon", ":", -1)).otherwise(F.col("canon"))
     real = scratch.keep(entities.select("kind", bare.alias("new")).distinct(), "real")
     now = scratch.keep(propose(entities.withColumn("attempt", F.lit(0))), "round-0")
@@ -571,7 +571,7 @@ def pseudonymise(docs: DataFrame, key: str, *, carry: list[str] | None = None, m
     secret = key.encode()
     carry = ["doc_id"] if carry is None else carry
     rows = docs.select(common.key_of("doc_id").alias("doc"), F.col("text").cast("string").alias("text"))
-    found = scratch.keep(rows.mapInArrow(_entities(False), "doc long, kind string, canon string"), "found")
+    found = scratch.keep(rows.mapInArrow(common.tidy(_entities(False)), "doc long, kind string, canon string"), "found")
     sketch = common.marks(found.filter("kind = ''"), "doc")
     entities = scratch.keep(found.filter("kind <> ''").select("kind", "canon").distinct(), "entities")
     again = resolve(entities, secret, scratch).filter("attempt > 0").select("kind", "canon", "attempt")
@@ -582,9 +582,9 @@ def pseudonymise(docs: DataFrame, key: str, *, carry: list[str] | None = None, m
     results = ["fl_clean", *(f"fl_{k}" for k in KINDS)]
     kind = f"fl_row {common.carried_kind(docs, carry)}, fl_clean string, " + ", ".join(f"fl_{k} long" for k in KINDS)
     if len(few) <= most_retries:
-        out = whole.select("fl_row", "fl_text", "fl_mark").mapInArrow(_rewritten(secret, {(r[0], r[1]): r[2] for r in few}, sketch), kind)
+        out = whole.select("fl_row", "fl_text", "fl_mark").mapInArrow(common.tidy(_rewritten(secret, {(r[0], r[1]): r[2] for r in few}, sketch)), kind)
         return out.select(*common.spread(carry, results))
-    held = rows.mapInArrow(_entities(True), "doc long, kind string, canon string").join(again, ["kind", "canon"])
+    held = rows.mapInArrow(common.tidy(_entities(True)), "doc long, kind string, canon string").join(again, ["kind", "canon"])
     held = held.groupBy("doc").agg(F.collect_set(F.struct("kind", "canon", "attempt")).alias("fl_again"))
     out = whole.join(held, F.col("fl_doc") == held["doc"], "left").select("fl_row", "fl_text", "fl_mark", "fl_again")
-    return out.mapInArrow(_rewritten(secret, None, sketch), kind).select(*common.spread(carry, results))
+    return out.mapInArrow(common.tidy(_rewritten(secret, None, sketch)), kind).select(*common.spread(carry, results))

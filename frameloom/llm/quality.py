@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import common
+
 WORD = re.compile(r"[^ \t-\r]+")
 SYMBOL = re.compile(r"[#*$%&|<>]")
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_letters"]
@@ -121,7 +123,7 @@ def ledger(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(found[:, k]) for k in range(len(MEASURES)))], ["doc_id", *MEASURES])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found = rows.mapInArrow(run, "doc_id long, " + ", ".join(f"{m} long" for m in MEASURES))
+    found = rows.mapInArrow(common.tidy(run), "doc_id long, " + ", ".join(f"{m} long" for m in MEASURES))
     bits = [f"if({rule.fails}, {1 << k}L, 0L)" for k, rule in enumerate(rules)]
     return found.withColumn("failed", F.expr(" | ".join(bits)))
 

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import common
 from .subwords import encoder
 
 BLOCK = 1024
@@ -35,7 +36,7 @@ def histogram(docs: DataFrame, tokenizer: str, *, end_tokens: int = 0) -> DataFr
             n = Counter(len(code) // enc.wide + end_tokens for code in enc.encode_all(batch.column(0).to_pylist()))
             yield pa.RecordBatch.from_pydict({"length": pa.array(n.keys(), pa.int64()), "n": pa.array(n.values(), pa.int64())})
 
-    found = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "length long, n long")
+    found = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(common.tidy(run), "length long, n long")
     return found.groupBy("length").agg(F.sum("n").alias("n_docs"))
 
 

@@ -166,7 +166,7 @@ def write_token_files(spark: SparkSession, docs: DataFrame, tokenizer: str, uri:
     scratch = common.Scratch(spark, "token-files")
     rows = docs.select(common.key_of("doc_id").alias("doc"), F.col("text").cast("string").alias("text"))
     rows = rows.repartitionByRange("doc", F.left("text", F.lit(64))).sortWithinPartitions("doc", "text")
-    made = rows.mapInArrow(_raw_shards(tokenizer, end_id, shard_ids), SHARDS + ", ids array<long>, counts array<long>")
+    made = rows.mapInArrow(common.tidy(_raw_shards(tokenizer, end_id, shard_ids)), SHARDS + ", ids array<long>, counts array<long>")
     made = scratch.keep(made, "raw", whole_values=True)
     enc = encoder(tokenizer)
     counts = np.zeros(enc.vocab_size, dtype=np.int64)
@@ -181,7 +181,7 @@ def write_token_files(spark: SparkSession, docs: DataFrame, tokenizer: str, uri:
         before += n
     ranks = spark.createDataFrame(list(enumerate(by_rank.tolist())), "rank long, id long")
     ranks.coalesce(1).write.mode("overwrite").parquet(f"{uri}/ranks")
-    done = made.select("part", "seq", "body").mapInArrow(_ranked(enc.dtype, rank_of, base), SHARDS)
+    done = made.select("part", "seq", "body").mapInArrow(common.tidy(_ranked(enc.dtype, rank_of, base)), SHARDS)
     common.write_whole(done, f"{uri}/shards")
     spark.createDataFrame([(end_id, before, len(by_rank))], "end_id long, n_ids long, vocab_size long").coalesce(1).write.mode("overwrite").parquet(f"{uri}/info")
     scratch.close()
@@ -219,4 +219,4 @@ def read_token_files(spark: SparkSession, uri: str, *, with_ids: bool = False) -
     files = spark.read.schema(SHARDS).parquet(f"{uri}/shards").select("body")
     kind = "doc long, start long, n_tokens long, ids_crc32 long" + (", ids array<long>" if with_ids else "")
     rest = ["start", "n_tokens", "ids_crc32"] + ["ids"] * with_ids
-    return files.mapInArrow(_digests(by_rank, with_ids), kind).select(common.id_of("doc").alias("doc_id"), *rest)
+    return files.mapInArrow(common.tidy(_digests(by_rank, with_ids)), kind).select(common.id_of("doc").alias("doc_id"), *rest)

@@ -222,7 +222,13 @@ def test_mix_of_any_number_of_sources(spark):
 def test_rounds_are_a_running_sum():
     for sizes in ([], [1], [3, 1, 4, 1, 5, 9, 2, 6], [7] * 5):
         rounds = mixing.Rounds(sorted(Counter(sizes).items()))
-        assert rounds.before(np.arange(12)).tolist() == [sum(min(b, j) for b in sizes) for j in range(12)] and rounds.total == sum(sizes)
+        want = [sum(min(b, j) for b in sizes) for j in range(12)]
+        for first, last in ((0, 11), (3, 3), (2, 7), (11, 11)):
+            steps = rounds.steps(first, last)
+            for j in range(first, last + 1):
+                step = [x for x in steps if x["b"] <= j][-1]
+                assert step["ended"] + step["alive"] * j == want[j]
+        assert rounds.total == sum(sizes)
 
 
 #: Names that operators use inside, or that their results have.
