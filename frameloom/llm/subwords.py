@@ -46,10 +46,14 @@ class Memo:
     def __init__(self, most: int):
         self.most, self.now, self.old = most, {}, {}
 
-    def update(self, found: dict[str, bytes]) -> None:
+    def turn(self) -> None:
         if len(self.now) >= self.most:
             self.old, self.now = self.now, {}
-        self.now.update({word: code for word, code in found.items() if len(word) < 200})
+
+    def forget(self, long: list[str]) -> None:
+        """Very long words are not worth their room."""
+        for word in long:
+            self.now.pop(word, None)
 
 
 class WordEncoder:
@@ -106,10 +110,9 @@ class WordEncoder:
                 self.marks[run] = code
         return code
 
-    def _pieces(self, words: list[str], before: str) -> dict[str, bytes]:
-        """The ids of words that the pattern keeps whole, each with the
+    def _pieces(self, words: list[str], before: str, into: dict[str, bytes]) -> None:
+        """Puts the ids of words that the pattern keeps whole, each with the
         character ``before`` it."""
-        out: dict[str, bytes] = {}
         plain = list(filter(str.isascii, words))
         others = [] if len(plain) == len(words) else [w for w in words if not w.isascii()]
         for group in (plain, others):
@@ -119,59 +122,66 @@ class WordEncoder:
                 ids = np.array([t.id for t in self.tokenize(joined)], dtype=self.dtype)
                 code = ids.tobytes()
                 cuts = [*(np.flatnonzero(self.begins[ids]) * self.wide).tolist(), len(code)] if len(some) > 1 else [0, len(code)]
-                for w, a, b in zip(some, cuts[:-1], cuts[1:], strict=True):
-                    out[w] = code[a:b]
-        return out
+                into.update(zip(some, map(code.__getitem__, map(slice, cuts[:-1], cuts[1:])), strict=True))
 
-    def _learn(self, words: Iterable[str], memo: Memo) -> dict[str, bytes]:
-        """The ids of new words; the memo knows them then."""
-        found: dict[str, bytes] = {}
+    def _learn(self, words: Iterable[str], memo: Memo) -> None:
+        """Puts the ids of new words into the memo."""
         plain: list[str] = []
         begun: list[str] = []
-        marked: list[tuple[str, str]] = []
-        now, old = memo.now, memo.old
+        marked: list[str] = []
+        stems: list[str] = []
+        memo.turn()
+        now, old, marks = memo.now, memo.old, self.marks
         for word in words:
             if (code := old.get(word)) is not None:
-                found[word] = code
+                now[word] = code
             elif word.isalpha():
                 plain.append(word)
             elif (letters := word.rstrip(PUNCTUATION)).isalpha():
-                marked.append((word, letters))
+                marked.append(word)
+                stems.append(letters)
             elif word[:1] not in ("\n", "\0"):
-                found[word] = self._whole(" " + word)
+                now[word] = self._whole(" " + word)
             elif (bare := word[1:]).isalpha():
                 begun.append(bare)
             elif (letters := bare.rstrip(PUNCTUATION)).isalpha():
-                marked.append((word, word[0] + letters))
+                marked.append(word)
+                stems.append(word[0] + letters)
             else:
-                found[word] = self._whole(word if word[0] == "\n" else bare)
-        for _, stem in marked:
-            if (code := now.get(stem) or old.get(stem)) is not None:
-                found[stem] = code
+                now[word] = self._whole(word if word[0] == "\n" else bare)
+        for stem in stems:
+            if stem in now:
+                continue
+            if (code := old.get(stem)) is not None:
+                now[stem] = code
             elif stem[0] in "\n\0":
                 begun.append(stem[1:])
             else:
                 plain.append(stem)
-        found |= self._pieces(list(dict.fromkeys(plain)), SPACE)
-        for word, code in self._pieces(list(dict.fromkeys(begun)), END).items():
-            found["\n" + word], found["\0" + word] = code, code[self.wide :]
-        for word, stem in marked:
-            found[word] = found[stem] + self._mark(word[len(stem) :])
-        memo.update(found)
-        return found
+        self._pieces(list(dict.fromkeys(plain)), SPACE, now)
+        if begun:
+            lines: dict[str, bytes] = {}
+            self._pieces(list(dict.fromkeys(begun)), END, lines)
+            for word, code in lines.items():
+                now["\n" + word], now["\0" + word] = code, code[self.wide :]
+        for word, stem in zip(marked, stems, strict=True):
+            run = word[len(stem) :]
+            now[word] = now[stem] + (marks.get(run) or self._mark(run))
 
     def _codes(self, words: list[str], memo: Memo, learn) -> list[bytes]:
         codes = list(map(memo.now.get, words))
         if new := [k for k, code in enumerate(codes) if code is None]:
-            found = learn(dict.fromkeys([words[k] for k in new]), memo)
-            for k in new:
-                codes[k] = found[words[k]]
+            missing = [words[k] for k in new]
+            learn(dict.fromkeys(missing), memo)
+            for k, code in zip(new, map(memo.now.__getitem__, missing), strict=True):
+                codes[k] = code
+            memo.forget([word for word in missing if len(word) > 200])
         return codes
 
-    def _learn_units(self, units: Iterable[str], memo: Memo) -> dict[str, bytes]:
-        found = {u: memo.old.get(u) or self._whole(u) for u in units}
-        memo.update(found)
-        return found
+    def _learn_units(self, units: Iterable[str], memo: Memo) -> None:
+        memo.turn()
+        for u in units:
+            memo.now[u] = memo.old.get(u) or self._whole(u)
 
     def encode_all(self, texts: list[str | None]) -> list[bytes]:
         """``encode`` of each text; they are taken together."""
