@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -40,21 +41,20 @@ def frame_variance(scanlines: DataFrame) -> DataFrame:
 
 def frame_difference(scanlines: DataFrame) -> DataFrame:
     """(clip_id, frame_no, difference): mean absolute change from the frame
-    before, 0 for the first."""
-    change = "aggregate(zip_with(flatten(planes), flatten(before), (a, b) -> abs(a - b)), 0L, (s, v) -> s + v)"
-    rows = with_previous(scanlines).select("clip_id", "frame_no", F.size(F.flatten("planes")).cast("long").alias("n"), F.when(F.col("before").isNull(), 0).otherwise(F.expr(change)).cast("long").alias("d"))
-    return rows.groupBy("clip_id", "frame_no").agg((F.sum("d") / F.sum("n")).alias("difference"))
+    before, 0 for the first, infinite where the lines' shapes differ."""
+    return frame_metrics(scanlines).select("clip_id", "frame_no", "difference")
 
 
 def frame_metrics(scanlines: DataFrame) -> DataFrame:
-    """(clip_id, frame_no, variance, difference), both in one pass."""
-    rows = with_previous(scanlines).select("clip_id", "frame_no", F.flatten("planes").alias("p"), F.flatten("before").alias("b"))
+    """(clip_id, frame_no, variance, difference), both in one pass; columns
+    that nobody reads are pruned."""
+    rows = with_previous(scanlines).select("clip_id", "frame_no", F.flatten("planes").alias("p"), F.flatten("before").alias("b"), (F.transform("planes", F.size) != F.transform("before", F.size)).alias("odd"))
     total = lambda x, y: F.aggregate(x, F.lit(0).cast("long"), lambda s, v: s + y(v))
     change = F.when(F.col("b").isNull(), F.lit(0).cast("long")).otherwise(total(F.zip_with("p", "b", lambda x, y: F.abs(x - y)), lambda v: v))
-    rows = rows.select("clip_id", "frame_no", F.size("p").cast("long").alias("n"), total(F.col("p"), lambda v: v).alias("s"), total(F.col("p"), lambda v: v.cast("long") * v).alias("q"), change.alias("d"))
-    sums = rows.groupBy("clip_id", "frame_no").agg(*(F.sum(c).alias(c) for c in "nsqd"))
+    rows = rows.select("clip_id", "frame_no", F.size("p").cast("long").alias("n"), total(F.col("p"), lambda v: v).alias("s"), total(F.col("p"), lambda v: v.cast("long") * v).alias("q"), change.alias("d"), "odd")
+    sums = rows.groupBy("clip_id", "frame_no").agg(*(F.sum(c).alias(c) for c in "nsqd"), F.coalesce(F.max("odd"), F.lit(False)).alias("odd"))
     variance = (F.col("n") * F.col("q") - F.col("s") * F.col("s")) / (F.col("n") * F.col("n"))
-    return sums.select("clip_id", "frame_no", variance.alias("variance"), (F.col("d") / F.col("n")).alias("difference"))
+    return sums.select("clip_id", "frame_no", variance.alias("variance"), F.when(F.col("odd"), F.lit(float("inf"))).otherwise(F.col("d") / F.col("n")).alias("difference"))
 
 
 def frame_scores(scanlines: DataFrame, variance_weight: float = 0.7, difference_weight: float = 0.3) -> DataFrame:
@@ -104,6 +104,8 @@ def reframe(clip: Clip, fps: float, technique: str | Callable[..., DataFrame] =
         raise ProcessingError(f"the target rate {fps} is above the source's {clip.fps}", "reframe")
     if not (0 <= variance_weight <= 1 and 0 <= difference_weight <= 1):
         raise ProcessingError("weights must be within 0 and 1", "reframe")
+    if abs(variance_weight + difference_weight - 1) > 0.01:
+        warnings.warn("the weights don't sum to 1", stacklevel=2)
     if abs(fps - clip.fps) < 0.01:
         return clip
     name = technique if isinstance(technique, str) else getattr(technique, "__name__", "custom")

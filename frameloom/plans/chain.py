@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import logging
 import time
 from collections import deque
 from collections.abc import Callable
@@ -13,9 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators import delta, modes, onebit, reframe, resize
 from ..schema import Clip, ProcessingError
-
-log = logging.getLogger("frameloom")
-
+from .log import log
 
 @dataclass(frozen=True)
 class Stage:

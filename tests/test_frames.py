@@ -153,6 +153,22 @@ def test_metrics(gray):
     assert [r.difference for r in reframe.frame_difference(gray.scanlines).orderBy("frame_no").collect()] == [0.0] + [4.0] * 8
 
 
+def test_difference_of_other_shapes(spark):
+    kind = "clip_id string, frame_no long, y int, planes array<array<int>>"
+    lines = spark.createDataFrame([("a", 0, 0, [[1, 2]]), ("a", 1, 0, [[1, 5]]), ("a", 2, 0, [[1, 5, 7]]), ("a", 3, 0, [[1], [5], [7]])], kind)
+    assert [r.difference for r in reframe.frame_difference(lines).orderBy("frame_no").collect()] == [0.0, 1.5, float("inf"), float("inf")]
+
+
+def test_log_file(rgb, tmp_path):
+    from frameloom.plans import log
+
+    with log.to_file(str(tmp_path / "logs")) as path:
+        chain.Chain().then(chain.one_bit(30)).run(rgb)
+    chain.Chain().then(chain.one_bit(30)).run(rgb)
+    lines = path.read_text().splitlines()
+    assert len(lines) == 2 and all(line.count(" | ") == 3 for line in lines) and "to_1bit: 3 frames of 4x2" in lines[0]
+
+
 def test_reframe_clip(gray):
     out = reframe.reframe(gray, 10, "simple")
     found = out.stats["reframe"]
@@ -160,6 +176,8 @@ def test_reframe_clip(gray):
     assert found["compression_ratio"] == pytest.approx(1 / 3) and found["frame_drop_percentage"] == pytest.approx(200 / 3)
     assert frames.to_array(out)[:, 0, 0].tolist() == [0, 12, 24]
     assert reframe.reframe(gray, 30.001) is gray
+    with pytest.warns(UserWarning, match="sum to 1"):
+        reframe.reframe(gray, 10, variance_weight=0.2)
     with pytest.raises(ProcessingError):
         reframe.reframe(gray, 60)
     custom = lambda lines, n, a, b: lines.filter("frame_no % 3 = 0").selectExpr("*", "frame_no div 3 as out_no")
